@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.fold import MAX_GROUP_ROWS, OK, Rules, fold
+from eventloom.session import materialize
 
 # Event types and outcome names of the warehouse data model.
 ONE_ZONE = ("PRODUCT_RECEIVED", "PRODUCT_SHIPPED", "PRODUCT_RESERVED", "PRODUCT_RELEASED", "INVENTORY_COUNTED")
@@ -153,7 +154,7 @@ def fold_warehouse(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> WarehouseResult:
     """Fold decoded events (see ``sources.warehouse.decode``) in ``seq`` order over the stored state."""
-    judged = events.withColumn("static", static_code(events))
+    judged = materialize(events.withColumn("static", static_code(events)))
     valid = judged.filter("static IS NULL")
     stock = valid.filter(F.col("event_type").isin(*ONE_ZONE, "PRODUCT_MOVED"))
     created = valid.filter("event_type = 'ORDER_CREATED'")
