@@ -4,10 +4,10 @@ Admission rules are sequential: whether an event is applied depends on the state
 and an event that touches several keys is applied to all of them or to none. The fold runs as repeated
 Spark jobs over *touches* (one row per event and key):
 
-1. Every key is folded in arrival order by its own task. For an event on several keys the task uses the
-   verdict of the previous round; in the first round it goes by its own key alone.
-2. The touches' findings are combined into one verdict per event.
-3. If no verdict differs from the one used, the result is final; else the next round starts.
+1. Every key is folded in arrival order by its own task. It applies an event when its own checks pass now
+   and the event's other keys passed in the previous round; in the first round it goes by its own key alone.
+2. The keys' findings are combined into one verdict per event.
+3. If every key did with each event what the verdict says, the result is final; else the next round starts.
 
 Each finding depends only on earlier events, so the only self-consistent assignment is the sequential
 result, and each round settles at least the earliest unsettled event: the loop ends, exactly.
@@ -35,7 +35,7 @@ OK = ""
 
 TOUCH = "key STRING, seq BIGINT, idx INT, shared BOOLEAN, op STRING, ts BIGINT, qty BIGINT, text STRING"
 _RECORD = (
-    "rec STRING, key STRING, segment INT, seq BIGINT, shared BOOLEAN, used INT, used_info STRING, "
+    "rec STRING, key STRING, segment INT, seq BIGINT, applied INT, used_info STRING, "
     "rank BIGINT, code STRING, info STRING, state STRING"
 )
 _ARROW = pa.schema(
@@ -44,8 +44,7 @@ _ARROW = pa.schema(
         ("key", pa.string()),
         ("segment", pa.int32()),
         ("seq", pa.int64()),
-        ("shared", pa.bool_()),
-        ("used", pa.int32()),
+        ("applied", pa.int32()),
         ("used_info", pa.string()),
         ("rank", pa.int64()),
         ("code", pa.string()),
@@ -69,6 +68,10 @@ class Rules:
         """
         raise NotImplementedError
 
+    def load(self, state: dict) -> dict:
+        """A seeded state in working form."""
+        return state
+
     def expand(self, verdicts: DataFrame) -> DataFrame | None:
         """Touches that follow from the last round's verdicts (an order's lines, a booking's flight)."""
         return None
@@ -81,11 +84,18 @@ class Folded:
     rounds: int
 
 
-def fold(touches: DataFrame, rules: Rules, seeds: DataFrame | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> Folded:
+def fold(
+    touches: DataFrame,
+    rules: Rules,
+    seeds: DataFrame | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    doomed: DataFrame | None = None,
+) -> Folded:
     """Fold ``touches`` (columns of :data:`TOUCH`) over ``seeds`` (key, state JSON) in ``seq`` order.
 
     ``seq`` identifies an event and is its arrival position. ``shared`` says that the event may touch more
-    than one key. Within an event, touches of one key are judged in ``idx`` order.
+    than one key. Within an event, touches of one key are judged in ``idx`` order. ``doomed`` (seq) names
+    events known to fail whatever the state is, which spares the rounds that would find out.
     """
     spark = touches.sparkSession
     touches = materialize(touches.select(*[f.split()[0] for f in TOUCH.split(", ")]))
@@ -98,6 +108,9 @@ def fold(touches: DataFrame, rules: Rules, seeds: DataFrame | None = None, max_g
     seed_rows = None if seeds is None else _as_seed(seeds.withColumn("segment", F.lit(0)))
 
     verdicts = carry = None
+    if cuts is not None and seeds is not None:
+        slots = located.select("key", F.explode(F.sequence(F.lit(1), F.size("cuts"))).alias("segment"))
+        carry = materialize(_as_seed(seeds.join(slots, "key")))
     rounds = 0
     while True:
         rounds += 1
@@ -107,38 +120,42 @@ def fold(touches: DataFrame, rules: Rules, seeds: DataFrame | None = None, max_g
             rows = rows.unionByName(extra)
         rows = _segmented(rows, located)
         if verdicts is None:
-            rows = rows.withColumn("used", F.lit(-1)).withColumn("used_info", F.lit(None).cast("string"))
+            if doomed is None:
+                rows = rows.withColumn("others", F.lit(1))
+            else:
+                rows = rows.join(doomed.select("seq", F.lit(0).alias("others")), "seq", "left").fillna(1, ["others"])
+            rows = rows.withColumn("used_info", F.lit(None).cast("string"))
         else:
-            known = verdicts.filter("shared").select(
-                "seq", (F.col("code") == OK).cast("int").alias("used"), F.col("info").alias("used_info")
-            )
-            rows = rows.join(known, "seq", "left").withColumn("used", F.coalesce("used", F.lit(-1)))
+            known = verdicts.filter("fails IS NOT NULL").select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
+            bad = (F.col("fails") > 1) | ((F.col("fails") == 1) & (F.col("fail_key") != F.col("key")))
+            rows = rows.join(known, "seq", "left").withColumn("others", F.when(bad, 0).otherwise(1)).drop("fails", "fail_key")
         for more in (seed_rows, carry):
             if more is not None:
                 rows = rows.unionByName(more)
         ordered = rows.repartition(tasks, "key", "segment").sortWithinPartitions("key", "segment", "seq", "idx")
-        ordered = ordered.select("key", "segment", "seq", "shared", "op", "ts", "qty", "text", "used", "used_info")
+        ordered = ordered.select("key", "segment", "seq", "shared", "op", "ts", "qty", "text", "others", "used_info")
         out = materialize(ordered.mapInArrow(_folder(rules), _RECORD))
 
-        alone = out.filter("rec = 'event'").select("seq", "shared", "code", "info", "used", "used_info")
+        alone = out.filter("rec = 'event'").select("seq", "code", "info")
         if any_shared:
-            failed = F.when(F.col("code") != OK, F.struct("rank", "code"))
+            failed = F.col("code") != OK
             together = (
                 out.filter("rec = 'touch'")
                 .groupBy("seq")
                 .agg(
-                    F.lit(True).alias("shared"),
-                    F.coalesce(F.min(failed)["code"], F.lit(OK)).alias("code"),
+                    F.coalesce(F.min(F.when(failed, F.struct("rank", "code")))["code"], F.lit(OK)).alias("code"),
                     F.max("info").alias("info"),
-                    F.max("used").alias("used"),
+                    F.count_if(failed).alias("fails"),
+                    F.min(F.when(failed, F.col("key"))).alias("fail_key"),
+                    F.min("applied").alias("least"),
+                    F.max("applied").alias("most"),
                     F.max("used_info").alias("used_info"),
                 )
             )
-            verdicts = materialize(alone.unionByName(together))
-            settled = verdicts.filter(
-                F.col("shared")
-                & ((F.col("used") != (F.col("code") == OK).cast("int")) | ~F.col("used_info").eqNullSafe(F.col("info")))
-            ).isEmpty()
+            verdicts = materialize(alone.unionByName(together, allowMissingColumns=True))
+            good = (F.col("code") == OK).cast("int")
+            open_ = (F.col("least") != good) | (F.col("most") != good) | ~F.col("used_info").eqNullSafe(F.col("info"))
+            settled = verdicts.filter(F.col("fails").isNotNull() & open_).isEmpty()
         else:
             verdicts, settled = alone, True
         if cuts is not None:
@@ -198,7 +215,7 @@ def _as_seed(states):
         F.lit(0).cast("bigint").alias("ts"),
         F.lit(0).cast("bigint").alias("qty"),
         F.col("state").alias("text"),
-        F.lit(-1).alias("used"),
+        F.lit(1).alias("others"),
         F.lit(None).cast("string").alias("used_info"),
         F.col("segment"),
     )
@@ -219,27 +236,24 @@ def _folder(rules: Rules):
         current = None  # (key, segment)
         base: dict = {}
         work: dict = {}
-        event = None  # (seq, shared, used, used_info)
+        event = None  # (seq, shared, others, used_info)
         found: list = []
         out: list = []
 
         def close_event():
             nonlocal found, work
-            seq, shared, used, used_info = event
-            good = all(f[1] == OK for f in found)
-            if (used == 1) if (shared and used >= 0) else good:
+            seq, shared, others, used_info = event
+            rank, code, info = min((f for f in found if f[1] != OK), default=found[0], key=lambda f: f[0])
+            info = next((f[2] for f in found if f[2] is not None), None) if code == OK else None
+            applied = code == OK and (others == 1 or not shared)
+            if applied:
                 base.update(work)
-            if shared:
-                for rank, code, info in found:
-                    out.append(("touch", *current, seq, True, used, used_info, rank, code, info, None))
-            else:
-                rank, code, info = min((f for f in found if f[1] != OK), default=found[0])
-                out.append(("event", *current, seq, False, used, used_info, rank, code, info, None))
+            out.append(("touch" if shared else "event", *current, seq, int(applied), used_info, rank, code, info, None))
             found, work = [], {}
 
         def close_key():
             state = json.dumps(base, sort_keys=True)
-            out.append(("state", *current, None, False, -1, None, None, None, None, state))
+            out.append(("state", *current, None, None, None, None, None, None, state))
 
         def flush():
             nonlocal out
@@ -251,7 +265,7 @@ def _folder(rules: Rules):
 
         for batch in batches:
             lists = [c.to_pylist() for c in batch.columns]
-            for key, segment, seq, shared, op, ts, qty, text, used, used_info in zip(*lists):
+            for key, segment, seq, shared, op, ts, qty, text, others, used_info in zip(*lists):
                 if event is not None and (current != (key, segment) or event[0] != seq):
                     close_event()
                     event = None
@@ -261,10 +275,10 @@ def _folder(rules: Rules):
                     current, base = (key, segment), {}
                 if op == _SEED:
                     # The carried state of a segment already contains the seed.
-                    base = json.loads(text)
+                    base = rules.load(json.loads(text))
                     continue
                 if event is None:
-                    event = (seq, shared, used, used_info)
+                    event = (seq, shared, others, used_info)
                 found.append(rules.touch(base, work, key, op, ts, qty, text))
             if len(out) >= 10_000:
                 yield flush()
