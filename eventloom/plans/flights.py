@@ -13,10 +13,10 @@ from eventloom.sources.warehouse import _arrival, _line_days
 
 
 @query("flt5_flight_search", f"""WITH {M.FLIGHTS_SQL} SELECT flight_id, departure_time, price_per_seat FROM flights
-  WHERE trim(origin_airport) = 'ABX' AND trim(destination_airport) = 'AC' AND CAST(departure_time AS DATE) = DATE '2026-01-12'
+  WHERE trim(origin_airport) = 'ABX' AND trim(destination_airport) = 'AAX' AND CAST(departure_time AS DATE) = DATE '2026-01-27'
     AND status = 'SCHEDULED'""")
 def _(spark, sf):
-    found = L.search(M.flights(spark, sf), "ABX", "AC", "2026-01-12")
+    found = L.search(M.flights(spark, sf), "ABX", "AAX", "2026-01-27")
     return found.select("flight_id", "departure_time", "price_per_seat")
 
 

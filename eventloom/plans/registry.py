@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Builder = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Builder] = {}
 _CHECKS: dict[str, str] = {}
-_MODULES = ("clickstream", "warehouse", "market", "flights")
+_MODULES = ("clickstream", "warehouse", "market", "flights", "quality", "observability", "delivery")
 
 
 def query(name: str, sql: str | None = None):
