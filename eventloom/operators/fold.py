@@ -120,15 +120,18 @@ def fold(
             rows = rows.unionByName(extra)
         rows = _segmented(rows, located)
         if verdicts is None:
-            if doomed is None:
-                rows = rows.withColumn("others", F.lit(1))
-            else:
-                rows = rows.join(doomed.select("seq", F.lit(0).alias("others")), "seq", "left").fillna(1, ["others"])
             rows = rows.withColumn("used_info", F.lit(None).cast("string"))
         else:
             known = verdicts.filter("fails IS NOT NULL").select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
             bad = (F.col("fails") > 1) | ((F.col("fails") == 1) & (F.col("fail_key") != F.col("key")))
             rows = rows.join(known, "seq", "left").withColumn("others", F.when(bad, 0).otherwise(1)).drop("fails", "fail_key")
+        if verdicts is None or (rounds == 2 and extra is not None):
+            # Nothing is known of the other keys yet, or only from a round that lacked the extra touches.
+            if doomed is None:
+                rows = rows.withColumn("others", F.lit(1))
+            else:
+                given_up = doomed.select("seq", F.lit(0).alias("others"))
+                rows = rows.drop("others").join(given_up, "seq", "left").fillna(1, ["others"])
         for more in (seed_rows, carry):
             if more is not None:
                 rows = rows.unionByName(more)

@@ -97,12 +97,13 @@ def last_operation(operations: DataFrame, types: list[str]) -> DataFrame:
 
 
 def discount(total: Column, percent: Column) -> Column:
-    """Percentage discount rounded half up, at most 70 % of the total."""
+    """Percentage discount rounded half up, at most 70 % of the total; null without a percentage."""
     wide = total.cast("decimal(18,2)")
-    return F.least(
+    cut = F.least(
         F.round(wide * percent / F.lit(100).cast("decimal(3,0)"), 2).cast("decimal(18,2)"),
         F.round(wide * F.lit("0.70").cast("decimal(3,2)"), 2).cast("decimal(18,2)"),
     )
+    return F.when(percent.isNotNull(), cut)  # least() alone would skip the null
 
 
 def promo_code_of(promo_found: Column, total: Column, now: Column, uses: Column | None = None) -> Column:
@@ -388,7 +389,7 @@ def decide_orders(
     items ARRAY<STRUCT<product_id, quantity>>. ``orders``: order_id, user_id, status, promo_code;
     ``items``: order_id, line, product_id, quantity; ``clocks``: user_id, last_create, last_update.
     """
-    wanted = requests.withColumn("promo_code", F.when(F.trim("promo_code") != "", F.col("promo_code")))
+    wanted = materialize(requests.withColumn("promo_code", F.when(F.trim("promo_code") != "", F.col("promo_code"))))
     lines = wanted.filter("kind <> 'CANCEL'").select("seq", "ts", "kind", F.posexplode("items").alias("line", "item"))
     lines = lines.select("seq", "ts", "kind", "line", "item.product_id", "item.quantity")
     lines = materialize(lines_with_products(lines, products))
