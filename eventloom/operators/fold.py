@@ -7,7 +7,8 @@ Spark jobs over *touches* (one row per event and key):
 1. Every key is folded in arrival order by its own task. It applies an event when its own checks pass now
    and the event's other keys passed in the previous round; in the first round it goes by its own key alone.
 2. The keys' findings are combined into one verdict per event.
-3. If every key did with each event what the verdict says, the result is final; else the next round starts.
+3. If every key did with each event what the verdict says, the result is final; else the next round starts,
+   with the keys of the events still open only. What the others found stands.
 
 Each finding depends only on earlier events, so the only self-consistent assignment is the sequential
 result, and each round settles at least the earliest unsettled event: the loop ends, exactly.
@@ -22,6 +23,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 import pyarrow as pa
@@ -107,71 +109,91 @@ def fold(
     located = cuts if cuts is None else _small(cuts, total, max_group_rows)
     seed_rows = None if seeds is None else _as_seed(seeds.withColumn("segment", F.lit(0)))
 
-    verdicts = carry = None
+    initial = F.lit(1) if doomed is None else F.coalesce("given_up", F.lit(1))
+    given_up = None if doomed is None else doomed.select("seq", F.lit(0).alias("given_up"))
+    carry = None
     if cuts is not None and seeds is not None:
         slots = located.select("key", F.explode(F.sequence(F.lit(1), F.size("cuts"))).alias("segment"))
         carry = materialize(_as_seed(seeds.join(slots, "key")))
+
+    verdicts = out = extra = active = None
     rounds = 0
     while True:
         rounds += 1
-        rows = touches
-        extra = rules.expand(verdicts) if verdicts is not None else None
-        if extra is not None:
-            rows = rows.unionByName(extra)
+        rows = touches if extra is None else touches.unionByName(extra)
         rows = _segmented(rows, located)
+        if active is not None:
+            rows = rows.join(active, ["key", "segment"], "left_semi")
         if verdicts is None:
             rows = rows.withColumn("used_info", F.lit(None).cast("string"))
         else:
-            known = verdicts.filter("fails IS NOT NULL").select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
+            known = verdicts.select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
             bad = (F.col("fails") > 1) | ((F.col("fails") == 1) & (F.col("fail_key") != F.col("key")))
             rows = rows.join(known, "seq", "left").withColumn("others", F.when(bad, 0).otherwise(1)).drop("fails", "fail_key")
-        if verdicts is None or (rounds == 2 and extra is not None):
+        if active is None:
             # Nothing is known of the other keys yet, or only from a round that lacked the extra touches.
-            if doomed is None:
-                rows = rows.withColumn("others", F.lit(1))
-            else:
-                given_up = doomed.select("seq", F.lit(0).alias("others"))
-                rows = rows.drop("others").join(given_up, "seq", "left").fillna(1, ["others"])
+            if given_up is not None:
+                rows = rows.join(given_up, "seq", "left")
+            rows = rows.withColumn("others", initial).drop("given_up")
         for more in (seed_rows, carry):
             if more is not None:
-                rows = rows.unionByName(more)
+                rows = rows.unionByName(more if active is None else more.join(active, ["key", "segment"], "left_semi"))
         ordered = rows.repartition(tasks, "key", "segment").sortWithinPartitions("key", "segment", "seq", "idx")
         ordered = ordered.select("key", "segment", "seq", "shared", "op", "ts", "qty", "text", "others", "used_info")
-        out = materialize(ordered.mapInArrow(_folder(rules), _RECORD))
+        found = ordered.mapInArrow(_folder(rules), _RECORD)
+        if active is not None:
+            found = out.join(active, ["key", "segment"], "left_anti").select(*out.columns).unionByName(found)
+        out = materialize(found)
 
-        alone = out.filter("rec = 'event'").select("seq", "code", "info")
+        changed = []
         if any_shared:
-            failed = F.col("code") != OK
-            together = (
-                out.filter("rec = 'touch'")
-                .groupBy("seq")
-                .agg(
-                    F.coalesce(F.min(F.when(failed, F.struct("rank", "code")))["code"], F.lit(OK)).alias("code"),
-                    F.max("info").alias("info"),
-                    F.count_if(failed).alias("fails"),
-                    F.min(F.when(failed, F.col("key"))).alias("fail_key"),
-                    F.min("applied").alias("least"),
-                    F.max("applied").alias("most"),
-                    F.max("used_info").alias("used_info"),
-                )
-            )
-            verdicts = materialize(alone.unionByName(together, allowMissingColumns=True))
+            verdicts = materialize(_verdicts(out))
             good = (F.col("code") == OK).cast("int")
-            open_ = (F.col("least") != good) | (F.col("most") != good) | ~F.col("used_info").eqNullSafe(F.col("info"))
-            settled = verdicts.filter(F.col("fails").isNotNull() & open_).isEmpty()
-        else:
-            verdicts, settled = alone, True
+            differs = (F.col("least") != good) | (F.col("most") != good) | ~F.col("used_info").eqNullSafe(F.col("info"))
+            open_ = verdicts.filter(differs).select("seq")
+            if not open_.isEmpty():
+                before, extra = extra, rules.expand(verdicts)
+                if before is None and extra is not None:
+                    # The first extra touches reach keys that have not been asked: look at all of them again.
+                    active = None
+                    if cuts is not None:
+                        carry = _next_carry(out, cuts)
+                    continue
+                reach = [t.select("key", "seq") for t in (touches, before, extra) if t is not None]
+                reach = reduce(DataFrame.unionByName, reach).join(open_, "seq", "left_semi")
+                changed.append(_segmented(reach, located).select("key", "segment"))
         if cuts is not None:
             ends = _next_carry(out, cuts)
-            same = carry is not None and ends.select("key", "segment", "text").exceptAll(
-                carry.select("key", "segment", "text")
-            ).isEmpty()
+            state = ["key", "segment", "text"]
+            moved = ends.select(*state) if carry is None else ends.select(*state).exceptAll(carry.select(*state))
             carry = ends
-            settled = settled and same
-        if settled:
+            if not moved.isEmpty():
+                changed.append(moved.select("key", "segment"))
+        if not changed:
             break
+        active = materialize(reduce(DataFrame.unionByName, changed).distinct())
+    alone = out.filter("rec = 'event'").select("seq", "code", "info")
+    together = alone if verdicts is None else alone.unionByName(verdicts.select("seq", "code", "info"))
     last = out.filter("rec = 'state'").groupBy("key").agg(F.max_by("state", "segment").alias("state"))
-    return Folded(verdicts.select("seq", "code", "info"), last, rounds)
+    return Folded(together, last, rounds)
+
+
+def _verdicts(out):
+    """One verdict per event on several keys, with what its keys did and which of them failed."""
+    failed = F.col("code") != OK
+    return (
+        out.filter("rec = 'touch'")
+        .groupBy("seq")
+        .agg(
+            F.coalesce(F.min(F.when(failed, F.struct("rank", "code")))["code"], F.lit(OK)).alias("code"),
+            F.max("info").alias("info"),
+            F.count_if(failed).alias("fails"),
+            F.min(F.when(failed, F.col("key"))).alias("fail_key"),
+            F.min("applied").alias("least"),
+            F.max("applied").alias("most"),
+            F.max("used_info").alias("used_info"),
+        )
+    )
 
 
 def _cuts(touches, sizes, total, max_group_rows):
