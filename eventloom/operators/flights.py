@@ -125,6 +125,7 @@ def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFram
     A rejected request takes no seats, so seats are admitted by an ordered fold per flight. Only booking ids
     that can meet themselves again (repeated, stored, or released) get a state of their own.
     """
+    requests = materialize(requests)
     known = flights.select(F.col("flight_id").alias("_f"), F.col("status").alias("_status"), "price_per_seat", "available_seats")
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
     reserve = F.col("kind") == "RESERVE"

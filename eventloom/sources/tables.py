@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan over all cores when the scan alone would use fewer of them.
+
+    Meant for heavy row work on few files. A scan of many files already has its tasks and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def money(column: str | Column, precision: int = 12) -> Column:
     col = F.col(column) if isinstance(column, str) else column
     return col.cast(f"decimal({precision},2)")

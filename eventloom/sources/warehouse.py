@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.warehouse import ITEMS
-from eventloom.sources.tables import table
+from eventloom.sources.tables import spread, table
 
 # One wide nullable record for all eight types; both versions of PRODUCT_RECEIVED fit it.
 WIRE = (
@@ -58,7 +58,7 @@ def _line_days(lines: DataFrame) -> DataFrame:
 
 def product_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product events from line items, with late, replayed, negative, unknown and broken ones among them."""
-    li = _line_days(table(spark, sf_dir, "lineitem"))
+    li = _line_days(spread(table(spark, sf_dir, "lineitem")))
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
     started = F.unix_millis(F.col("l_shipdate").cast("timestamp")) + line * 3_600_000
     base = li.withColumn("ms", started - F.when(key % 8 == 5, F.lit(300 * 86_400_000).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
