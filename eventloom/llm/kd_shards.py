@@ -54,19 +54,18 @@ def _coordinates(meta: DataFrame, shard_bytes: float) -> DataFrame:
         meta.groupBy(*same).agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > bound)
         .select(*same, F.ceil(F.col("bytes") * 2 / F.lit(bound)).alias("chunks"))
     )
-    ends = materialize(meta.agg(*[f(f"raw{i}").alias(f"{n}{i}") for i in range(DIMS) for n, f in (("lo", F.min), ("hi", F.max))]))
+    ends = meta.agg(*[f(f"raw{i}") for i in range(DIMS) for f in (F.min, F.max)]).first()  # eight numbers
     levels = (1 << LEVEL_BITS) - 1
 
     def coordinate(i: int) -> Column:
-        width = F.col(f"hi{i}") - F.col(f"lo{i}")
-        level = F.when(width > 0, F.floor((F.col(f"raw{i}") - F.col(f"lo{i}")) / width * levels)).otherwise(F.lit(0))
+        low, high = ends[2 * i] or 0.0, ends[2 * i + 1] or 0.0
+        level = F.floor((F.col(f"raw{i}") - low) / (high - low) * levels) if high > low else F.lit(0)
         return (F.shiftleft(level.cast("long"), TIE_BITS) + F.col("tie")).alias(f"c{i}")
 
     chunk = F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("chunks"))).otherwise(F.lit(0))
     tie = F.pmod(F.xxhash64(*same, chunk), F.lit(1 << TIE_BITS))
     return (
         meta.join(F.broadcast(large), same, "left")
-        .crossJoin(F.broadcast(ends))  # one row
         .withColumn("tie", tie)
         .select("doc_id", "size", "text_crc32", *[coordinate(i) for i in range(DIMS)])
     )

@@ -1,7 +1,8 @@
 """Toxicity: a convolutional text classifier, trained in numpy on a bounded sample and applied to every whole text.
 
 Words are hashed to embedding rows. Filters of one, two and three words slide over the text; each filter's largest
-response, floored at zero, is one feature, and a logistic layer turns the features into a score. Training runs
+response, floored at zero, is one feature, and a logistic layer turns the features into a score. The embedding's
+first column starts from each word's log odds in the training rows. Training runs
 Adam on the driver over at most ``sample`` labelled rows, keeps the epoch that does best on rows left out of
 training, scales the scores on those rows, and picks the threshold of each language there. Scores never see the
 language. Scoring is a map over the table: per-word filter responses are looked up, added and pooled by document.
@@ -13,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,11 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import table, whole
 
 #: Labelled rows that training takes at most: those with the smallest hash of their id.
-SAMPLE = 12_000
-BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 16, (1, 2, 3)
-EPOCHS, BATCH, RATE, SEED = 6, 64, 5e-3, 7
+SAMPLE = 8_000
+BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
+EPOCHS, LEAST_STEPS, BATCH, RATE, SEED = 4, 160, 64, 5e-3, 7
+#: Texts a word must occur in before its embedding starts from its log odds; others start near zero, as unseen words stay.
+LEAST_TEXTS, LARGEST_ODDS, SMALL = 4, 4.0, 0.02
 #: Positive rows of a language in the calibration rows from which it gets a threshold of its own.
 OWN_THRESHOLD = 30
 WORD = re.compile(r"\w+")
@@ -87,8 +91,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * logits + self.scale[1], -30, 30)))
 
 
-def _new_model(rng: np.random.Generator, rate: float) -> Model:
-    emb = rng.normal(0, 0.3, (BUCKETS, DIM)).astype(np.float32)
+def _log_odds(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """How much likelier each word is in texts of label 1, by number of texts."""
+    seen = [np.bincount(np.concatenate([np.unique(t) for t, y in zip(texts, labels) if y == k] or [[0]]).astype(np.int64), minlength=BUCKETS) for k in (0, 1)]
+    sizes = [max(1, int((labels == k).sum())) for k in (0, 1)]
+    odds = np.log((seen[1] + 0.5) / (sizes[1] + 1)) - np.log((seen[0] + 0.5) / (sizes[0] + 1))
+    return np.where(seen[0] + seen[1] >= LEAST_TEXTS, np.clip(odds, -LARGEST_ODDS, LARGEST_ODDS), 0).astype(np.float32)
+
+
+def _new_model(rng: np.random.Generator, rate: float, odds: np.ndarray) -> Model:
+    emb = rng.normal(0, SMALL, (BUCKETS, DIM)).astype(np.float32)
+    emb[:, 0] = odds
     emb[0] = 0
     filters = [[rng.normal(0, 0.3 / w**0.5, (DIM, FILTERS)).astype(np.float32) for _ in range(w)] for w in WIDTHS]
     out = rng.normal(0, 0.1, FILTERS * len(WIDTHS)).astype(np.float32)
@@ -160,8 +173,8 @@ def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str], seed: i
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, np.float32)
     rate = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-3, 1 - 1e-3))
-    model = _new_model(rng, rate)
     if len(labels) < 20 or labels.min() == labels.max():
+        model = _new_model(rng, rate, np.zeros(BUCKETS, np.float32))
         model.out[:] = 0
         return model
 
@@ -175,8 +188,10 @@ def train(texts: list[np.ndarray], labels: np.ndarray, langs: list[str], seed: i
 
     order = rng.permutation(len(labels))
     held, fit = np.sort(order[: len(order) // 5]), np.sort(order[len(order) // 5 :])
+    model = _new_model(rng, rate, _log_odds([texts[i] for i in fit], labels[fit]))
     check = [batch(held[at : at + 512]) for at in range(0, len(held), 512)]
-    adam, best, shift = _Adam(model.parameters()), (np.inf, None), model.shift
+    adam, best = _Adam(model.parameters()), (np.inf, None)
+    epochs = max(epochs, ceil(LEAST_STEPS * BATCH / len(fit)))
     for epoch in range(epochs):
         for chosen in np.array_split(rng.permutation(fit), max(1, len(fit) // BATCH)):
             gradients, slope = _gradients(model, *batch(chosen))
@@ -235,10 +250,9 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     Null and empty texts are scored like any other (no word, so no filter responds). Texts are scored whole.
     Repeated rows get equal scores. The model has a fixed size and travels with the tasks.
     """
-    looked_up = model.responses()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids()
+        ids, looked_up = _Ids(), model.responses()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
