@@ -12,6 +12,7 @@ so windows run on across segments. Documents are cut where a segment or a window
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from math import ceil
 
@@ -26,29 +27,55 @@ from eventloom.llm.common import table
 from eventloom.session import materialize
 
 WINDOW, SEGMENT, MIN_PIECE, END_ID = 4096, 1 << 18, 128, 2
-CACHE = 300_000
-SPACE = str.maketrans("\t\n\r\x0b\x0c", "     ")
+CACHE = 400_000  # words a task remembers
+GROUP = 4000  # new words encoded at once
+# How the tokenizer splits text into words after lower-casing (fixed value, its published pattern, for the characters
+# of PLAIN: endings, letters, single digits, marks).
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
+#: Characters outside which a text goes to the tokenizer as it is: here lower-casing and normalisation are simple.
+PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]")
+WORD_END = "</w>"
 
 
 def encoder(path: str, end_id: int):
-    """A function from text to token ids (uint32, little-endian bytes).
+    """A function from texts to token ids (uint32, little-endian bytes), ``end_id`` last.
 
-    The tokenizer never joins characters across white space, so words are encoded once and looked up afterwards."""
+    The tokenizer encodes word by word, so each distinct word is encoded once and looked up afterwards. New words are
+    encoded side by side in one text, and its ids are told apart by the tokens that end a word. Texts with characters
+    beyond Latin letters, and tokenizers that do not end each word so, take the tokenizer's own way."""
     from tokenizers import Tokenizer
 
     model, known = Tokenizer.from_file(path), {}
     model.encode_special_tokens = True
+    vocabulary = model.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
     last = np.array([end_id], "<u4").tobytes()
+    by_word = bool(ends.any())
+
+    def learn(words: list[str]) -> None:
+        for at in range(0, len(words), GROUP):
+            group = words[at : at + GROUP]
+            ids = np.array(model.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) == len(group):
+                parts = [x.tobytes() for x in np.split(ids, stops[:-1])]
+            else:
+                parts = [np.array(x.ids, "<u4").tobytes() for x in model.encode_batch(group, add_special_tokens=False)]
+            known.update(zip(group, parts))
 
     def encode(texts: list[str]) -> list[bytes]:
-        words = [(t or "").translate(SPACE).split(" ") for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
+        plain = {i: SPLIT.findall(t.lower()) for i, t in enumerate(texts) if by_word and not PLAIN.search(t)}
+        met = set().union(*plain.values()) if plain else set()
+        new = met - known.keys()
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = list({w for ws in words for w in ws})
-        for word, found in zip(new, model.encode_batch(new, add_special_tokens=False)):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) + last for ws in words]
+            new = met
+        learn(sorted(new))
+        others = [i for i in range(len(texts)) if i not in plain]
+        own = dict(zip(others, model.encode_batch([texts[i] for i in others], add_special_tokens=False))) if others else {}
+        get = known.__getitem__
+        return [(b"".join(map(get, plain[i])) if i in plain else np.array(own[i].ids, "<u4").tobytes()) + last for i in range(len(texts))]
 
     return encode
 
@@ -61,7 +88,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                ids = encode(batch.column(1).to_pylist())
+                ids = encode([t or "" for t in batch.column(1).to_pylist()])
                 sources, places = batch.column(2).to_pylist(), []
                 for source, x in zip(sources, ids):
                     places.append(before.get(source, 0))
