@@ -21,3 +21,26 @@ def whole(text: Column) -> Column:
 
 def utf8(text: Column) -> Column:
     return text.cast("binary")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def without(docs: DataFrame, dropped: DataFrame, listed: DataFrame, key: Column, on: Column) -> DataFrame:
+    """``docs`` without the rows that ``dropped`` or ``listed`` name, plus one row for each key of ``listed``.
+
+    ``on`` matches a row of ``docs`` with one of the two tables (both have the same columns); ``key`` groups the rows
+    that stand for one document, of which the least stays. Dropped rows are the fewer, so they are what is joined."""
+    rest = docs.join(dropped.unionByName(listed), on, "left_anti")
+    if listed.isEmpty():
+        return rest
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    once = docs.join(listed, on, "left_semi").groupBy(key.alias("key")).agg(F.min(row).alias("row"))
+    return rest.unionByName(once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

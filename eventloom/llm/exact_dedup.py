@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import shuffle_partitions, table, whole
+from eventloom.llm.common import fresh, shuffle_partitions, table, whole, without
 from eventloom.session import materialize
 
 FAN = 8
@@ -70,20 +70,18 @@ def exact_dedup(docs: DataFrame, keep: str = "min", id_col: str = "doc_id", text
 def kept_rows(docs: DataFrame, keep: str = "min", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows repeating id and text, one."""
     digests = materialize(_digests(docs, id_col, text_col))
-    groups = merged_runs(digests, keep)
-    listed = digests.groupBy("doc_id", "sha", "bytes", "check").agg(F.count(F.lit(1)).alias("_listed"))
-    stay = materialize(
-        groups.join(listed, ["sha", "bytes", "check"]).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select(F.col("doc_id").alias("_keep"), F.col("sha").alias("_sha"), "_listed")
-    )
-    on = F.col(id_col).eqNullSafe(F.col("_keep")) & (F.unhex(F.sha2(whole(F.col(text_col)).cast("binary"), 256)) == F.col("_sha"))
-    once = docs.join(stay.filter("_listed = 1").drop("_listed"), on, "left_semi")
-    repeated = docs.join(stay.filter("_listed > 1").drop("_listed"), on, "left_semi")
-    others = [c for c in docs.columns if c not in (id_col, text_col)]
-    folded = repeated.groupBy(id_col, text_col).agg(F.min(F.struct(*others)).alias("_rest")) if others else repeated.distinct()
-    if others:
-        folded = folded.select(id_col, text_col, *[F.col("_rest").getField(c).alias(c) for c in others])
-    return once.unionByName(folded.select(*docs.columns))
+    groups, same = materialize(merged_runs(digests, keep)), ["sha", "bytes", "check"]
+    # Only texts that occur twice or more can lose a row.
+    id_, sha_ = fresh(docs, "_id", "_sha")
+    several = digests.join(groups.filter("group_size > 1"), same)
+    named = several.groupBy(F.col("doc_id").alias(id_), F.col("sha").alias(sha_)).agg(
+        F.first("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("listed")
+    )
+    named = materialize(named.withColumn("stays", F.col(id_).eqNullSafe(F.col("keep_id"))))
+    sha = F.unhex(F.sha2(whole(F.col(text_col)).cast("binary"), 256))
+    on = F.col(id_col).eqNullSafe(F.col(id_)) & (sha == F.col(sha_))
+    dropped, listed = named.filter("NOT stays").select(id_, sha_), named.filter("stays AND listed > 1").select(id_, sha_)
+    return without(docs, dropped, listed, F.struct(F.col(id_col), whole(F.col(text_col))), on)
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

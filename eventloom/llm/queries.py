@@ -16,6 +16,7 @@ QUERIES = {
     "op8_toxicity_cnn": toxicity_cnn.op8_toxicity_cnn,
     "op9_simhash_trie": simhash_trie.op9_simhash_trie,
     "op10_gumbel_pieces": gumbel_pieces.op10_gumbel_pieces,
+    "pipeline": corpus_pipeline.run,
 }
 CHECKS = {
     "op3_exact_dedup": exact_dedup.SQL,

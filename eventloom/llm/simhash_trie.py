@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import table
+from eventloom.llm.common import fresh, table, without
 from eventloom.session import materialize
 
 SEED, BITS = 42, 64
@@ -209,14 +209,11 @@ def kept_rows(docs: DataFrame, budget: int = 3, words: int = 3, id_col: str = "d
     """The rows of ``docs`` that stay, one of each group, with all columns: the one with the smallest id. Rows that
     repeat an id are one document; the least of them stands for it. Rows without an id stay, as nothing names them."""
     found = near_dedup(docs, budget, words, id_col, text_col)
-    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("_listed"))
-    stay = materialize(ids.filter("doc_id = component_id").select(F.col("doc_id").alias("_keep"), "_listed"))
-    on = F.col(id_col) == F.col("_keep")
-    once = docs.join(stay.filter("_listed = 1"), on, "left_semi")
-    repeated = docs.join(stay.filter("_listed > 1"), on, "left_semi")
-    others = [c for c in docs.columns if c != id_col]
-    folded = repeated.groupBy(id_col).agg(F.min(F.struct(*others)).alias("_rest")).select(id_col, *[F.col("_rest").getField(c).alias(c) for c in others])
-    return once.unionByName(folded.select(*docs.columns)).unionByName(docs.filter(F.col(id_col).isNull()))
+    (id_,) = fresh(docs, "_id")
+    ids = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(id_)).agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("listed"))
+    ids = materialize(ids.filter((F.col(id_) != F.col("component_id")) | (F.col("listed") > 1)))
+    dropped, listed = ids.filter(F.col(id_) != F.col("component_id")).select(id_), ids.filter(F.col(id_) == F.col("component_id")).select(id_)
+    return without(docs, dropped, listed, F.col(id_col), F.col(id_col) == F.col(id_))
 
 
 def op9_simhash_trie(spark, sf_dir: str) -> DataFrame:

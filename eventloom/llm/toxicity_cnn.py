@@ -244,6 +244,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     return train(texts, got.column("_toxic").to_numpy(), got.column("_lang").to_pylist())
 
 
+def _scored(model: Model, texts: pa.Array, langs: pa.Array, ids: _Ids, looked_up) -> tuple[np.ndarray, np.ndarray]:
+    rows, starts = word_ids(texts.to_pylist(), ids)
+    scores = model.score(model.logits(rows, starts, looked_up)).astype(float)
+    return scores, scores >= np.array([model.thresholds.get(x, model.threshold) for x in langs.to_pylist()])
+
+
+PART = 256  # texts scored at once
+
+
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, score, toxic of every row; ``toxic`` compares the score with the threshold of the row's language.
 
@@ -254,17 +263,29 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, looked_up = _Ids(), model.responses()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows, starts = word_ids(part.column(1).to_pylist(), ids)
-                scores = model.score(model.logits(rows, starts, looked_up)).astype(float)
-                bounds = np.array([model.thresholds.get(x, model.threshold) for x in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(scores >= bounds)], ["doc_id", "score", "toxic"])
+            for at in range(0, batch.num_rows, PART):
+                part = batch.slice(at, PART)
+                scores, toxic = _scored(model, part.column(1), part.column(2), ids, looked_up)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores), pa.array(toxic)], ["doc_id", "score", "toxic"])
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"))
     return chosen.mapInArrow(run, "doc_id long, score double, toxic boolean")
 
 
+def clean_rows(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not toxic, with all their columns; rows are judged where they are, without a join."""
+    text, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, looked_up = _Ids(), model.responses()
+        for batch in batches:
+            for at in range(0, batch.num_rows, PART):
+                part = batch.slice(at, PART)
+                yield part.filter(pa.array(~_scored(model, part.column(text), part.column(lang), ids, looked_up)[1]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_toxicity_cnn(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = classify(docs, fit(docs, table(spark, sf_dir, "labels")))
