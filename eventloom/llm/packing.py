@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -37,12 +38,14 @@ PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]")
 WORD_END = "</w>"
 
 
+@lru_cache(maxsize=1)
 def encoder(path: str, end_id: int):
     """A function from texts to token ids (uint32, little-endian bytes), ``end_id`` last.
 
     The tokenizer encodes word by word, so each distinct word is encoded once and looked up afterwards. New words are
     encoded side by side in one text, and its ids are told apart by the tokens that end a word. Texts with characters
-    beyond Latin letters, and tokenizers that do not end each word so, take the tokenizer's own way."""
+    beyond Latin letters, and tokenizers that do not end each word so, take the tokenizer's own way. A worker keeps
+    its encoder, with at most CACHE words, from task to task."""
     from tokenizers import Tokenizer
 
     model, known = Tokenizer.from_file(path), {}
@@ -56,10 +59,11 @@ def encoder(path: str, end_id: int):
     def learn(words: list[str]) -> None:
         for at in range(0, len(words), GROUP):
             group = words[at : at + GROUP]
-            ids = np.array(model.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
-            stops = np.flatnonzero(ends[ids]) + 1
+            ids = np.array(model.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
             if len(stops) == len(group):
-                parts = [x.tobytes() for x in np.split(ids, stops[:-1])]
+                data = ids.tobytes()
+                parts = [data[a:b] for a, b in zip([0, *stops], stops)]
             else:
                 parts = [np.array(x.ids, "<u4").tobytes() for x in model.encode_batch(group, add_special_tokens=False)]
             known.update(zip(group, parts))
@@ -71,7 +75,7 @@ def encoder(path: str, end_id: int):
         if len(known) + len(new) > CACHE:
             known.clear()
             new = met
-        learn(sorted(new))
+        learn(list(new))
         others = [i for i in range(len(texts)) if i not in plain]
         own = dict(zip(others, model.encode_batch([texts[i] for i in others], add_special_tokens=False))) if others else {}
         get = known.__getitem__
