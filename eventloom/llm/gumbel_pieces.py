@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -105,6 +106,12 @@ class Vocabulary:
         return data.decode("utf-8", "replace")[1 if data[:1] == b" " else 0 :]
 
 
+@lru_cache(maxsize=1)
+def vocabulary_of(path: str, scores: str, temperature: float) -> Vocabulary:
+    """A worker keeps its vocabulary from task to task."""
+    return Vocabulary(path, scores, temperature)
+
+
 def _rolled(marks: np.ndarray, codes: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return (marks + codes + np.uint64(1)) * _MIX[0]
@@ -375,7 +382,7 @@ def encode_samples(docs: DataFrame, path: str, k: int = SAMPLES, seed: int = SEE
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path, scores, temperature)
+        vocabulary = vocabulary_of(path, scores, temperature)
         schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.binary()), ("pieces", pa.int64()), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("log_inclusion", pa.float64()), ("round_trip", pa.bool_())])
 
         def flush(ids: list, whole: list, texts: list, keys: list) -> pa.RecordBatch:
@@ -414,7 +421,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", into: str = "decode
     at, names = rows.columns.index(ids_col), [*rows.columns, into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = vocabulary_of(path, "zipf", 1.0)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
