@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from eventloom.session import materialize
 
-MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_ROWS = 2_000_000  # rows of a key that one task may sort; only the plan depends on it
+MAX_BROADCAST_RANGES = 100_000
 
 
 def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
@@ -42,6 +43,7 @@ def ordered(
     including the row.
     """
     previous, max_before, sum_through = previous or {}, max_before or {}, sum_through or {}
+    df = materialize(df)  # it is read several times below
     largest, total = group_sizes(df, keys)
     if largest <= max_group_rows:
         return _local(df, keys, order, row_number, previous, max_before, sum_through)
@@ -77,7 +79,8 @@ def ordered(
         *[F.sum(f"_sum_{o}").over(before).alias(f"_csum_{o}") for o in sum_through],
         *[F.lag(f"_last_{o}").over(step).alias(f"_clast_{o}") for o in previous],
     ).filter("_before IS NOT NULL")
-    out = scanned.join(F.broadcast(carry), [*keys, "_range"], "left")
+    # There are as many ranges as shuffle partitions or full ranges; beyond the bound the join shuffles.
+    out = scanned.join(F.broadcast(carry) if ranges <= MAX_BROADCAST_RANGES else carry, [*keys, "_range"], "left")
     if row_number:
         out = out.withColumn(row_number, F.col("_pos") + F.coalesce("_before", F.lit(0)))
     for o in max_before:
@@ -90,6 +93,23 @@ def ordered(
     return out.select(*[c for c in df.columns], *added)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with a position 1, 2, ... over all its rows; rows that tie in ``order`` are numbered as they come.
+
+    Rows are cut into ranges of the order and numbered in each; a range starts after the counts of those before it,
+    which are one row per range. The result is a table, so every use sees the same numbers.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = materialize(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    counts = cut.groupBy("_range").count()
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most one row per range
+    starts = counts.select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    out = cut.withColumn("_within", within).join(F.broadcast(starts), "_range")
+    return materialize(out.withColumn(name, (F.col("_start") + F.col("_within")).cast("bigint")).select(*df.columns, name))
+
+
 def _local(df, keys, order, row_number, previous, max_before, sum_through):
     window = Window.partitionBy(*keys).orderBy(*order)
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)

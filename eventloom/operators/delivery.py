@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.ordering import MAX_GROUP_ROWS
-from eventloom.operators.observability import alerts
+from eventloom.operators.observability import alerts, exact_quantiles
+from eventloom.session import materialize
 
 # Channel, seconds to wait, retries; then the dead letter.
 CASCADE = (("push", 5, 1), ("sms", 30, 1), ("email", 60, 2))
@@ -81,44 +82,56 @@ def delivery_outcome(attempts: DataFrame) -> DataFrame:
     )
 
 
-def delivery_slis(attempts: DataFrame, window: str = "1 minute") -> DataFrame:
-    """Per channel and window: delivery, retry, failover and duplicate rates, latency p95 and p99."""
+def delivery_slis(attempts: DataFrame, accepted: DataFrame, window: str = "1 minute") -> DataFrame:
+    """Per channel and window of hand-off: delivery, retry, failover and duplicate rates, and latency p95 and p99.
+
+    Latency runs from acceptance (``accepted``: notification_id, accepted_at) to the hand-off to the provider; the
+    provider's own time to answer is not in it. Attempts without an acceptance have none.
+    """
     at = F.struct("sent_at", "attempt_id")
     delivered = F.col("provider_status") == "delivered"
     firsts = attempts.groupBy("notification_id").agg(
         F.min_by("attempt_id", F.when(delivered, at)).alias("first_delivered"), F.min_by("channel", at).alias("first_channel")
     )
-    rows = attempts.join(firsts, "notification_id")
-    latency = (F.unix_millis("replied_at") - F.unix_millis("sent_at")).cast("double")
+    rows = attempts.join(firsts, "notification_id").join(accepted, "notification_id", "left")
+    rows = rows.withColumn("window_start", F.window("sent_at", window)["start"])
+    rows = materialize(rows.withColumn("latency_ms", (F.unix_millis("sent_at") - F.unix_millis("accepted_at")).cast("double")))
     share = lambda c: F.round(F.count_if(c) / F.count(F.lit(1)), 6)
-    return rows.groupBy("channel", F.window("sent_at", window)["start"].alias("window_start")).agg(
+    rates = rows.groupBy("channel", "window_start").agg(
         F.count(F.lit(1)).alias("attempts"),
         share(delivered).alias("delivery_rate"),
         share(F.col("attempt_no") > 1).alias("retry_rate"),
         share(F.col("channel") != F.col("first_channel")).alias("failover_rate"),
         share(delivered & (F.col("attempt_id") != F.col("first_delivered"))).alias("duplicate_rate"),
-        F.percentile(latency, F.lit(0.95)).alias("p95_ms"),
-        F.percentile(latency, F.lit(0.99)).alias("p99_ms"),
     )
+    quantiles = exact_quantiles(rows, ["channel", "window_start"], "latency_ms", {"p95_ms": 0.95, "p99_ms": 0.99})
+    return rates.join(quantiles, ["channel", "window_start"], "left")
 
 
-def channel_degradation(attempts, window="1 minute", slide="30 seconds", ratio=0.5, hold_seconds=0, max_group_rows=MAX_GROUP_ROWS):
+def channel_degradation(attempts, window="1 minute", slide="30 seconds", ratio=0.5, hold_seconds=30, max_group_rows=MAX_GROUP_ROWS):
     """Spans in which a channel's sliding failure ratio stayed at or above ``ratio``."""
     bad = ~F.col("provider_status").isin("delivered", "accepted")
     windows = attempts.groupBy("channel", F.window("sent_at", window, slide)["start"].alias("ts")).agg(
         (F.count_if(bad) >= ratio * F.count(F.lit(1))).alias("holds")
     )
-    return alerts(windows, ["channel"], hold_seconds, max_group_rows)
+    return alerts(windows, ["channel"], hold_seconds, F.expr(f"INTERVAL {slide}"), max_group_rows)
 
 
 def failover_cost(attempts: DataFrame, price: str = SMS_PRICE) -> DataFrame:
-    """SMS sent per day and what they cost."""
-    day = F.to_date("sent_at").alias("day")
-    sms = F.count_if(F.col("channel") == "sms")
+    """SMS sent per day because another channel had failed before, and what they cost.
+
+    An SMS that comes first, as for those who prefer it, is no failover.
+    """
+    day, at = F.to_date("sent_at").alias("day"), F.struct("sent_at", "attempt_id")
+    failed = (F.col("channel") != "sms") & ~F.col("provider_status").isin("delivered", "accepted")
+    failures = attempts.groupBy("notification_id").agg(F.min(F.when(failed, at)).alias("first_failure"))
+    attempts = attempts.join(failures, "notification_id")
+    sms = F.count_if((F.col("channel") == "sms") & (at > F.col("first_failure")))
     cost = (F.col("sms") * F.lit(price).cast("decimal(6,2)")).cast("decimal(18,2)")
     return attempts.groupBy(day).agg(F.count_distinct("notification_id").alias("notifications"), sms.alias("sms")).withColumn("cost", cost)
 
 
-def unified_status(spark: SparkSession, replies: DataFrame) -> DataFrame:
-    mapping = spark.createDataFrame(list(STATUS_MAP), "channel STRING, provider_status STRING, status STRING")
-    return replies.join(mapping, ["channel", "provider_status"], "left").withColumn("status", F.coalesce("status", F.lit("UNKNOWN")))
+def unified_status(replies: DataFrame) -> DataFrame:
+    """The common status of each reply. The mapping is a handful of constants, so it is part of the expression."""
+    known = F.create_map(*[x for channel, reply, status in STATUS_MAP for x in (F.lit(f"{channel}/{reply}"), F.lit(status))])
+    return replies.withColumn("status", F.coalesce(known[F.concat_ws("/", "channel", "provider_status")], F.lit("UNKNOWN")))

@@ -102,7 +102,7 @@ def _touch(df, prefix, key, op, qty=None, text=None, shared=None):
     return df.select(
         F.concat(F.lit(prefix), key).alias("key"),
         "seq",
-        F.lit(0).alias("idx"),
+        F.lit(0).cast("bigint").alias("idx"),
         (F.lit(True) if shared is None else shared).alias("shared"),
         F.lit(op).alias("op"),
         F.lit(0).cast("bigint").alias("ts"),

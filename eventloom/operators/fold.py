@@ -35,7 +35,7 @@ from eventloom.session import materialize
 MAX_GROUP_ROWS = 1_000_000
 OK = ""
 
-TOUCH = "key STRING, seq BIGINT, idx INT, shared BOOLEAN, op STRING, ts BIGINT, qty BIGINT, text STRING"
+TOUCH = "key STRING, seq BIGINT, idx BIGINT, shared BOOLEAN, op STRING, ts BIGINT, qty BIGINT, text STRING"
 _RECORD = (
     "rec STRING, key STRING, segment INT, seq BIGINT, applied INT, used_info STRING, "
     "rank BIGINT, code STRING, info STRING, state STRING"
@@ -130,8 +130,9 @@ def fold(
             known = verdicts.select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
             bad = (F.col("fails") > 1) | ((F.col("fails") == 1) & (F.col("fail_key") != F.col("key")))
             rows = rows.join(known, "seq", "left").withColumn("others", F.when(bad, 0).otherwise(1)).drop("fails", "fail_key")
-        if active is None:
-            # Nothing is known of the other keys yet, or only from a round that lacked the extra touches.
+        if active is None or verdicts is None:
+            # Nothing is known of the other keys yet, or only from a round that lacked the extra touches; where no
+            # event is shared there is nothing to know.
             if given_up is not None:
                 rows = rows.join(given_up, "seq", "left")
             rows = rows.withColumn("others", initial).drop("given_up")
@@ -234,7 +235,7 @@ def _as_seed(states):
     return states.select(
         "key",
         F.lit(_FIRST).cast("bigint").alias("seq"),
-        F.lit(0).alias("idx"),
+        F.lit(0).cast("bigint").alias("idx"),
         F.lit(False).alias("shared"),
         F.lit(_SEED).alias("op"),
         F.lit(0).cast("bigint").alias("ts"),

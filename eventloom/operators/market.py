@@ -15,7 +15,6 @@ from eventloom.operators.fold import MAX_GROUP_ROWS, OK, Rules, fold
 from eventloom.session import materialize
 
 ACTIVE_ORDER = ("CREATED", "PAYMENT_PENDING")
-LINE_PAGE = 50  # most lines one order may have
 RATE_SECONDS = 60
 
 
@@ -43,11 +42,10 @@ def page(df: DataFrame, key: str, page: int = 0, size: int = 20, sort: str = "cr
     return rows, totals
 
 
-def orders_visible_to(orders: DataFrame, principals: DataFrame) -> DataFrame:
-    """Orders each principal (user_id, role) may list: an admin all, others their own."""
-    own = orders.join(principals.filter("role <> 'ADMIN'").select(F.col("user_id").alias("viewer")), F.col("viewer") == F.col("user_id"))
-    admins = principals.filter("role = 'ADMIN'").select(F.col("user_id").alias("viewer"))
-    return own, admins
+def orders_visible_to(orders: DataFrame, user_id: str, role: str) -> DataFrame:
+    """The orders a principal may list, newest first: an admin all, others their own."""
+    mine = orders if role == "ADMIN" else orders.filter(F.col("user_id") == user_id)
+    return mine.orderBy(F.desc("created_at"), "order_id")
 
 
 def soft_delete(products: DataFrame, requests: DataFrame) -> DataFrame:
@@ -72,15 +70,14 @@ def lines_with_products(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def orders_with_items(orders: DataFrame, items: DataFrame, tiebreak: str) -> DataFrame:
-    """Orders with their lines as an array.
+    """Orders with their lines as an array, in line order; an order without lines has null.
 
-    Lines of an order come in pages of up to :data:`LINE_PAGE` line numbers, so a malformed giant order
-    is spread over many rows; an order within the limit has one row.
+    One row per order: how many lines an order may have is a matter of the constraints, not of this join. Lines are
+    grouped by order id once, and the join keeps that partitioning.
     """
     line = F.struct("line", tiebreak, "product_id", "quantity", "price_at_order")
-    paged = items.withColumn("page", F.floor((F.col("line") - 1) / LINE_PAGE))
-    nested = paged.groupBy("order_id", "page").agg(F.array_sort(F.collect_list(line)).alias("items"))
-    return orders.join(nested, "order_id", "left").withColumn("page", F.coalesce("page", F.lit(0)))
+    nested = items.groupBy("order_id").agg(F.array_sort(F.collect_list(line)).alias("items"))
+    return orders.join(nested, "order_id", "left")
 
 
 def order_totals(items: DataFrame) -> DataFrame:
@@ -193,7 +190,7 @@ def rate_limited(operations: DataFrame, min_gap: int = RATE_SECONDS, max_group_r
     touches = limited.select(
         F.concat_ws(":", "user_id", "operation_type").alias("key"),
         "seq",
-        F.lit(0).alias("idx"),
+        F.lit(0).cast("bigint").alias("idx"),
         F.lit(False).alias("shared"),
         F.lit("OP").alias("op"),
         F.unix_micros("created_at").alias("ts"),
@@ -206,7 +203,8 @@ def rate_limited(operations: DataFrame, min_gap: int = RATE_SECONDS, max_group_r
 
 
 # Ranks put the checks of a request in the order they are made.
-_ORDER, _USER, _LINE, _STOCK, _PROMO = -100, 0, 1_000, 1_000_000, 2_000_000
+# Ranks of checks. Line numbers are INT, so lines of one kind stay below the next one.
+_ORDER, _USER, _LINE, _STOCK, _PROMO = -100, 0, 1 << 33, 2 << 33, 3 << 33
 
 
 class OrderRules(Rules):
@@ -324,7 +322,7 @@ class OrderRules(Rules):
         found = verdicts.filter("info IS NOT NULL").select("seq", parsed.alias("i")).filter("i.ref IS NOT NULL")
         found = found.join(self._requests, "seq").select("seq", "ts", "promo_problem", "i.*")
         back = found.join(self._lines, "ref")
-        out = _touch(back, F.concat(F.lit("S:"), "product_id"), F.col("line") - 1_000_000, "GIVE", F.col("quantity"))
+        out = _touch(back, F.concat(F.lit("S:"), "product_id"), F.col("line").cast("bigint") - F.lit(1 << 33), "GIVE", F.col("quantity"))
         moved = F.explode(
             F.filter(
                 F.array(
@@ -341,7 +339,7 @@ class OrderRules(Rules):
             )
         )
         promo = found.select("seq", "ts", moved.alias("m")).select(
-            "m.key", "seq", F.lit(0).alias("idx"), F.lit(True).alias("shared"), "m.op", F.unix_micros("ts").alias("ts"), F.col("m.qty").cast("bigint").alias("qty"), "m.text"
+            "m.key", "seq", F.lit(0).cast("bigint").alias("idx"), F.lit(True).alias("shared"), "m.op", F.unix_micros("ts").alias("ts"), F.col("m.qty").cast("bigint").alias("qty"), "m.text"
         )
         return out.unionByName(promo)
 
@@ -350,7 +348,7 @@ def _touch(df, key, idx, op, qty=None, text=None):
     return df.select(
         key.alias("key"),
         "seq",
-        idx.cast("int").alias("idx"),
+        idx.cast("bigint").alias("idx"),
         F.lit(True).alias("shared"),
         F.lit(op).alias("op"),
         F.unix_micros("ts").alias("ts"),

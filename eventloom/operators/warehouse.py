@@ -104,7 +104,7 @@ def _stock_touch(df: DataFrame) -> DataFrame:
     return df.select(
         F.concat(F.lit("P:"), "product_id").alias("key"),
         "seq",
-        F.col("line").cast("int").alias("idx"),
+        F.col("line").cast("bigint").alias("idx"),
         "shared",
         "op",
         F.unix_micros("ts").alias("ts"),
@@ -211,7 +211,7 @@ def _key_touch(df, prefix, key, op, idx):
     return df.select(
         F.concat(F.lit(prefix), key).alias("key"),
         "seq",
-        F.lit(idx).alias("idx"),
+        F.lit(idx).cast("bigint").alias("idx"),
         F.lit(True).alias("shared"),
         op.alias("op"),
         F.unix_micros("ts").alias("ts"),

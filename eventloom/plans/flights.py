@@ -9,7 +9,8 @@ from eventloom.plans.registry import query
 from eventloom.session import materialize
 from eventloom.sources import market as M
 from eventloom.sources.tables import table
-from eventloom.sources.warehouse import _arrival, _line_days
+from eventloom.functions.ordering import numbered
+from eventloom.sources.warehouse import _line_days
 
 
 @query("flt5_flight_search", f"""WITH {M.FLIGHTS_SQL} SELECT flight_id, departure_time, price_per_seat FROM flights
@@ -50,14 +51,27 @@ def _(spark, sf):
     return L.seat_conservation(M.flights(spark, sf), M.reservations(spark, sf))
 
 
+ARRIVAL = ("day", "order", "line", "part", "supplier", "amount", "kind", "booking_id")
+
+
 def seat_requests(spark, sf):
+    """The requests in order of arrival."""
+    return numbered(seat_rows(spark, sf), [F.col(c) for c in ARRIVAL], "seq").select("seq", "kind", "booking_id", "flight_id", "seat_count")
+
+
+def seat_rows(spark, sf):
     """Reservations from line items; some repeated, some released, some released twice, some unknown."""
     li, key = _line_days(table(spark, sf, "lineitem")), F.col("l_orderkey")
     booking = F.concat_ws("-", key, "l_linenumber", "l_partkey")
 
     def rows(df, shift, kind, name=booking):
         return df.select(
-            _arrival(F.col("day") + shift, key, F.col("l_linenumber"), F.col("l_partkey")).alias("seq"),
+            (F.col("day") + shift).alias("day"),
+            key.alias("order"),
+            F.col("l_linenumber").alias("line"),
+            F.col("l_partkey").alias("part"),
+            F.col("l_suppkey").alias("supplier"),
+            F.col("l_quantity").alias("amount"),
             F.lit(kind).alias("kind"),
             name.alias("booking_id"),
             F.when(key % 77 == 1, "F-none").otherwise(F.concat(F.lit("F"), "l_partkey")).alias("flight_id"),
@@ -77,7 +91,7 @@ r AS (SELECT *, 'RESERVE' AS kind, day AS d, b AS booking_id FROM li
   UNION ALL SELECT *, 'RELEASE', day + 200, b FROM li WHERE l_orderkey % 5 = 3
   UNION ALL SELECT *, 'RELEASE', day + 230, b FROM li WHERE l_orderkey % 20 = 3
   UNION ALL SELECT *, 'RELEASE', day + 15, 'none-' || b FROM li WHERE l_orderkey % 50 = 8),
-q AS (SELECT ((CAST(d AS BIGINT) * 268435456 + l_orderkey) * 8 + l_linenumber) * 65536 + l_partkey % 65536 AS seq, kind, booking_id,
+q AS (SELECT row_number() OVER (ORDER BY d, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, kind, booking_id) AS seq, kind, booking_id,
   CASE WHEN l_orderkey % 77 = 1 THEN 'F-none' ELSE 'F' || l_partkey END AS flight_id, CAST(l_quantity AS INTEGER) % 5 AS seat_count,
   l_partkey FROM r),
 s AS (SELECT q.*, f.price_per_seat, f.available_seats, CASE WHEN kind = 'RELEASE' THEN NULL WHEN seat_count <= 0 THEN 'INVALID_ARGUMENT'
@@ -124,7 +138,7 @@ def _(spark, sf):
     AND free IS NOT NULL GROUP BY l_partkey""")
 def _(spark, sf):
     """Free seats of the flights that had at least one request the rules had to decide."""
-    asked = seat_requests(spark, sf).join(M.flights(spark, sf), "flight_id")
+    asked = seat_rows(spark, sf).join(M.flights(spark, sf), "flight_id")
     decidable = asked.filter((F.col("kind") == "RELEASE") | ((F.col("status") == "SCHEDULED") & (asked["seat_count"] > 0)))
     return _decided(spark, sf).flights.join(decidable.select("flight_id").distinct(), "flight_id", "left_semi")
 

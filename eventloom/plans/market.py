@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventloom.functions.ordering import numbered
 from eventloom.operators import market as K
 from eventloom.plans.registry import query
 from eventloom.session import materialize
@@ -11,7 +12,7 @@ from eventloom.sources import market as M
 from eventloom.sources.tables import money, table
 
 
-@query("src6_relational_tables", f"""WITH {M.USERS_SQL}, {M.PRODUCTS_SQL}, {M.PROMOS_SQL}, {M.ORDERS_SQL}, {M.ITEMS_SQL}, {M.OPERATIONS_SQL}, {M.FLIGHTS_SQL}, {M.RESERVATIONS_SQL}
+@query("src6_relational_tables", f"""WITH {M.USERS_SQL}, {M.PRODUCTS_SQL}, {M.PROMOS_SQL}, {M.ORDERS_SQL}, {M.ITEMS_SQL}, {M.OPERATIONS_SQL}, {M.FLIGHTS_SQL}, {M.RESERVATIONS_SQL}, {M.BOOKINGS_SQL}
   SELECT 'users' AS relation, count(*) AS n, count(DISTINCT user_id) AS ids FROM users
   UNION ALL SELECT 'products', count(*), count(DISTINCT product_id) FROM products
   UNION ALL SELECT 'promo_codes', count(*), count(DISTINCT code) FROM promos
@@ -19,7 +20,8 @@ from eventloom.sources.tables import money, table
   UNION ALL SELECT 'order_items', count(*), count(DISTINCT item_id) FROM items
   UNION ALL SELECT 'user_operations', count(*), count(DISTINCT op_id) FROM operations
   UNION ALL SELECT 'flights', count(*), count(DISTINCT flight_id) FROM flights
-  UNION ALL SELECT 'seat_reservations', count(*), count(DISTINCT booking_id) FROM reservations""")
+  UNION ALL SELECT 'seat_reservations', count(*), count(DISTINCT booking_id) FROM reservations
+  UNION ALL SELECT 'bookings', count(*), count(DISTINCT booking_id) FROM bookings""")
 def _(spark, sf):
     tables = (
         ("users", M.users, "user_id"),
@@ -30,6 +32,7 @@ def _(spark, sf):
         ("user_operations", M.operations, "op_id"),
         ("flights", M.flights, "flight_id"),
         ("seat_reservations", M.reservations, "booking_id"),
+        ("bookings", M.bookings, "booking_id"),
     )
     out = None
     for name, read, key in tables:
@@ -45,17 +48,13 @@ def _(spark, sf):
     return found.select("product_id", "name", "price", "stock")
 
 
-@query("flt8_orders_visible_to", f"""WITH {M.USERS_SQL}, {M.ORDERS_SQL} SELECT user_id AS viewer, count(*) AS orders, max(created_at) AS newest
-  FROM users JOIN shop_orders USING (user_id) WHERE role <> 'ADMIN' GROUP BY user_id
-  UNION ALL SELECT user_id, a.orders, a.newest FROM users, (SELECT count(*) AS orders, max(created_at) AS newest FROM shop_orders) a WHERE role = 'ADMIN'""")
+@query("flt8_orders_visible_to", f"""WITH {M.ORDERS_SQL} SELECT 'u7' AS viewer, order_id, user_id, status, created_at FROM shop_orders WHERE user_id = 'u7'
+  UNION ALL SELECT 'admin', order_id, user_id, status, created_at FROM shop_orders""")
 def _(spark, sf):
-    """What each principal's order list holds. Admins share one list, so it is aggregated once for all of them."""
-    orders, principals = M.orders(spark, sf), M.users(spark, sf).select("user_id", "role")
-    own, admins = K.orders_visible_to(orders, principals)
-    measures = [F.count(F.lit(1)).alias("orders"), F.max("created_at").alias("newest")]
-    every = orders.agg(*measures).withColumn("role", F.lit("ADMIN"))
-    listed = admins.withColumn("role", F.lit("ADMIN")).join(every, "role").drop("role")
-    return own.groupBy("viewer").agg(*measures).unionByName(listed)
+    """The lists of one user and of an admin."""
+    orders = M.orders(spark, sf).select("order_id", "user_id", "status", "created_at")
+    lists = [K.orders_visible_to(orders, who, role).withColumn("viewer", F.lit(who)) for who, role in (("u7", "USER"), ("admin", "ADMIN"))]
+    return lists[0].unionByName(lists[1])
 
 
 @query("flt11_soft_delete", f"""WITH {M.PRODUCTS_SQL}, {M.USERS_SQL},
@@ -87,8 +86,8 @@ def _(spark, sf):
 
 
 @query("jn3_order_with_items", f"""WITH {M.ORDERS_SQL}, {M.ITEMS_SQL}, n AS (SELECT order_id, count(*) AS lines,
-    string_agg(product_id || 'x' || quantity, ',' ORDER BY line, item_id) AS content FROM items GROUP BY order_id)
-  SELECT order_id, user_id, status, 0 AS page, coalesce(lines, 0) AS lines, coalesce(content, '') AS content
+    string_agg(product_id || 'x' || quantity, ',' ORDER BY line, item_id, product_id, quantity, price_at_order) AS content FROM items GROUP BY order_id)
+  SELECT order_id, user_id, status, coalesce(lines, 0) AS lines, coalesce(content, '') AS content
   FROM shop_orders LEFT JOIN n USING (order_id)""")
 def _(spark, sf):
     nested = K.orders_with_items(M.orders(spark, sf), M.items(spark, sf), "item_id")
@@ -97,7 +96,6 @@ def _(spark, sf):
         "order_id",
         "user_id",
         "status",
-        "page",
         F.coalesce(F.when(F.col("items").isNotNull(), F.size("items")), F.lit(0)).alias("lines"),
         F.coalesce(content, F.lit("")).alias("content"),
     )
@@ -224,7 +222,9 @@ def requests(spark, sf):
 
     def rows(df, shift, kind, who, items, order_id):
         return df.select(
-            (((F.col("day") + shift) * 2**28 + k) * 8 + (0 if kind == "CREATE" else 1)).alias("seq"),
+            (F.col("day") + shift).alias("day"),
+            k.alias("order_key"),
+            F.lit(0 if kind == "CREATE" else 1).alias("turn"),
             F.lit(kind).alias("kind"),
             (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(days=F.lit(shift))).alias("ts"),
             order_id.alias("order_id"),
@@ -240,7 +240,8 @@ def requests(spark, sf):
     out = out.unionByName(rows(base.filter(k % 3 == 0), 2, "UPDATE", F.when(k % 9 == 0, other).otherwise(owner), F.slice(plain, -1, 1), new))
     out = out.unionByName(rows(base.filter(k % 40 != 0), 20, "CANCEL", F.when(k % 50 == 1, other).otherwise(owner), none, new))
     out = out.unionByName(rows(base.filter(k % 7 == 0), 1, "CANCEL", F.when(k % 10 == 1, other).otherwise(owner), none, F.concat(F.lit("o"), k)))
-    return out.join(people, "user_id")
+    arrived = numbered(out.join(people, "user_id"), [F.col(c) for c in ("day", "order_key", "turn", "order_id")], "seq")
+    return arrived.drop("day", "order_key", "turn")
 
 
 def _batch(spark, sf) -> K.MarketResult:

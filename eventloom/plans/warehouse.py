@@ -9,7 +9,7 @@ from eventloom.plans.registry import query
 from eventloom.session import work_dir
 from eventloom.sources.stores import RETENTION_DAYS, VersionedTables, retain
 from eventloom.sources.tables import table
-from eventloom.sources.warehouse import FOLD_SQL, PRODUCT_SQL, decode, order_messages, product_messages
+from eventloom.sources.warehouse import FOLD_SQL, PRODUCT_SQL, all_messages, decode, order_messages, product_messages
 from eventloom.streaming.warehouse import TOPIC, apply_batch, inventory_views, run_stream
 
 FAILED_AT = "2024-01-30T00:00:00Z"
@@ -20,9 +20,7 @@ def _run(spark, sf, kind) -> VersionedTables:
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _RUNS:
         store = VersionedTables(spark, work_dir(spark, f"warehouse-{kind}"))
-        messages = product_messages(spark, sf)
-        if kind == "orders":
-            messages = messages.unionByName(order_messages(spark, sf))
+        messages = all_messages(spark, sf) if kind == "orders" else product_messages(spark, sf)
         apply_batch(store, messages, 0, FAILED_AT)
         _RUNS[key] = store
     return _RUNS[key]
@@ -201,10 +199,11 @@ def _(spark, sf):
 
 
 @query("win3_stale_events", f"""{_EVENTS} SELECT seq, product_id, zi, coalesce(ts <= max(ts) OVER (PARTITION BY product_id, zi ORDER BY seq
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS is_stale FROM wh WHERE NOT unreadable AND event_type = 'PRODUCT_RECEIVED'""")
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS is_stale FROM wh WHERE NOT unreadable AND event_type <> 'PRODUCT_MOVED'""")
 def _(spark, sf):
-    received = decode(product_messages(spark, sf)).filter("event_type = 'PRODUCT_RECEIVED'").select("seq", "product_id", "zone_id", "ts")
-    marked = W.stale_events(received, ["product_id", "zone_id"])
+    """Every event on one zone; a move has two, each with its own order."""
+    events = decode(product_messages(spark, sf)).filter("NOT unreadable AND event_type <> 'PRODUCT_MOVED'")
+    marked = W.stale_events(events.select("seq", "product_id", "zone_id", "ts"), ["product_id", "zone_id"])
     return marked.select("seq", "product_id", (F.ascii(F.substring("zone_id", 6, 1)) - 64).alias("zi"), "is_stale")
 
 
@@ -232,14 +231,14 @@ def _(spark, sf):
   CASE WHEN outcome = 'failed' THEN found END AS error_code, count(*) AS n FROM outcomes
   WHERE outcome IN ('failed', 'processed') GROUP BY ALL""")
 def _(spark, sf):
-    """The same messages as a stream of three files, each a micro-batch over the state of those before."""
+    """The same messages in three deliveries, each a micro-batch of many files over the state of those before."""
     base = work_dir(spark, "split")
-    messages = product_messages(spark, sf)
+    messages = product_messages(spark, sf).drop("arrived_at")
     low, high = messages.selectExpr("percentile_approx(seq, array(0.33, 0.66))").first()[0]
-    for part in (f"seq <= {low}", f"seq > {low} AND seq <= {high}", f"seq > {high}"):
-        messages.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/topic")
     store = VersionedTables(spark, f"{base}/store")
-    run_stream(spark, f"{base}/topic", store, f"{base}/checkpoint", FAILED_AT)
+    for part in (f"seq <= {low}", f"seq > {low} AND seq <= {high}", f"seq > {high}"):
+        messages.filter(part).write.mode("append").parquet(f"{base}/topic")
+        run_stream(spark, f"{base}/topic", store, f"{base}/checkpoint", FAILED_AT)
     dead = store.log("dead_letters").select(F.lit("dead").alias("sink"), "error_code")
     ok = store.log("ledger").select(F.lit("ok").alias("sink"), F.lit(None).cast("string").alias("error_code"))
     return dead.unionByName(ok).groupBy("sink", "error_code").agg(F.count(F.lit(1)).alias("n"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,19 +29,37 @@ def build_session(app: str = "eventloom", master: str | None = None, partitions:
         builder = builder.master(master)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that folds run from any working directory.
+
+    Where the package is installed on the cluster, or given with ``--py-files``, there is no need to call it.
+    """
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="eventloom-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset, as in local
-    tests, a folder of this machine takes its place.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local master may do without: there a
+    folder of this machine takes its place until the process ends. Elsewhere a missing setting is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if current is None:
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="eventloom-"))
+        if not named:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            own = tempfile.mkdtemp(prefix="eventloom-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(named or own)
         current = spark.sparkContext.getCheckpointDir()
     return named or current
 

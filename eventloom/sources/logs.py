@@ -70,6 +70,13 @@ def requests(spark, sf) -> DataFrame:
     )
 
 
+def acceptances(spark, sf) -> DataFrame:
+    """When each notification was accepted: with the request just before its first attempt."""
+    r, n = requests(spark, sf), F.col("request_id")
+    mine = F.when(n == 0, 0).when(n % 3 == 2, (n + 1) / 3)
+    return r.select(mine.cast("bigint").alias("notification_id"), F.col("requested_at").alias("accepted_at")).filter("notification_id IS NOT NULL")
+
+
 def preferences(spark, sf) -> DataFrame:
     """Switches of each customer: marketing as a whole, and one service type."""
     k = F.col("c_custkey")
@@ -86,6 +93,8 @@ ATTEMPTS_SQL = """attempts AS (SELECT event_id AS attempt_id, event_id // 3 AS n
   make_timestamp((epoch_us(ts) // 1000 + CAST(floor(value * 10) AS BIGINT)) * 1000) AS replied_at,
   CASE event_type WHEN 'view' THEN 'delivered' WHEN 'click' THEN 'accepted' WHEN 'purchase' THEN 'timeout' WHEN 'signup' THEN 'failed'
     ELSE 'unreachable' END AS provider_status FROM events)"""
+ACCEPT_SQL = """accepted AS (SELECT CASE WHEN event_id = 0 THEN 0 ELSE (event_id + 1) // 3 END AS notification_id, ts AS accepted_at
+  FROM events WHERE event_id = 0 OR event_id % 3 = 2)"""
 NOTICE_SQL = """notices AS (SELECT event_id AS request_id, 'k' || (event_id // 4) AS idempotency_key, 'u' || user_id AS user_id, user_id AS uid,
   CASE event_id % 3 WHEN 0 THEN 'transactional' WHEN 1 THEN 'marketing' ELSE 'service' END AS kind,
   CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS svc, ts AS requested_at,

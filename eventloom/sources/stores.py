@@ -119,6 +119,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity a stream's checkpoint was given when it was made."""
+    return spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()[0]
+
+
+def claim(spark: SparkSession, path: str, owner: str) -> None:
+    """Bind a store to the stream that fills it; a store of another stream raises ValueError.
+
+    A new checkpoint counts its batches from zero again, so it would overwrite or skip what the store has."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_source")
+    files = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(jpath):
+        stream = files.open(jpath)
+        found = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if found != owner:
+            raise ValueError(f"{path} was filled by the stream {found}, not {owner}: use its checkpoint or a new store")
+        return
+    out = files.create(jpath, False)
+    out.writeBytes(owner)
+    out.close()
+
+
 class VersionedTables:
     """Several tables that change together.
 
@@ -138,9 +161,16 @@ class VersionedTables:
         done = [int(f.getPath().getName()) for f in files if f.getPath().getName().isdigit()]
         return max(done, default=None)
 
-    def write(self, batch: int, tables: dict[str, DataFrame]) -> None:
+    def write(self, batch: int, tables: dict[str, DataFrame], layout: dict[str, tuple[str, str]] | None = None) -> None:
+        """``layout`` names a table's partition column and the order inside it; ranges split a busy partition."""
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+            path = f"{self.path}/{name}/batch={batch}"
+            if layout and name in layout:
+                first, then = layout[name]
+                sorted_ = df.repartitionByRange(first, then).sortWithinPartitions(first, F.desc(then))
+                sorted_.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(first).parquet(path)
+            else:
+                df.write.mode("overwrite").parquet(path)
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_manifest/{batch}")
         jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(jpath, True).close()
 

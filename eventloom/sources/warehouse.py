@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.ordering import numbered
 from eventloom.operators.warehouse import ITEMS
 from eventloom.sources.tables import spread, table
 
@@ -42,10 +43,19 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
-def _arrival(day: Column, order: Column, line: Column, part: Column) -> Column:
-    """One arrival position from day, order, line and part."""
-    packed = F.shiftleft(F.shiftleft(F.shiftleft(day.cast("bigint"), 28) + order, 3) + line.cast("bigint"), 16)
-    return packed + F.pmod(part, F.lit(65536).cast("bigint"))
+ARRIVAL = ("day", "order", "line", "part", "supplier", "ms", "amount")
+
+
+def _arrival(*values) -> list[Column]:
+    """The columns that messages arrive by; no two different messages agree in all of them."""
+    return [(v if isinstance(v, Column) else F.lit(v)).cast("bigint").alias(f"a_{n}") for n, v in zip(ARRIVAL, values)]
+
+
+def arrived(rows: DataFrame) -> DataFrame:
+    """Messages with their place in the topic: partition, offset and seq, and the day they came in."""
+    placed = numbered(rows, [F.col(f"a_{n}") for n in ARRIVAL], "seq")
+    came = F.date_add(F.lit("1995-01-01").cast("date"), F.col("a_day").cast("int")).cast("timestamp").alias("arrived_at")
+    return placed.select(F.lit(0).alias("partition"), F.col("seq").alias("offset"), "seq", "value", came)
 
 
 def _zone(column: Column) -> Column:
@@ -57,6 +67,18 @@ def _line_days(lines: DataFrame) -> DataFrame:
 
 
 def product_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrived(product_rows(spark, sf_dir))
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrived(order_rows(spark, sf_dir))
+
+
+def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrived(product_rows(spark, sf_dir).unionByName(order_rows(spark, sf_dir)))
+
+
+def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product events from line items, with late, replayed, negative, unknown and broken ones among them."""
     li = _line_days(spread(table(spark, sf_dir, "lineitem")))
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
@@ -91,17 +113,14 @@ def product_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(counted, amount).alias("counted_quantity"),
         F.when(line == 2, F.concat(F.lit("SUP-"), F.col("l_suppkey"))).alias("supplier_id"),
     )
-    seq = _arrival(F.col("day"), key, line, F.col("l_partkey"))
     text = F.to_json(event)
     return rows.select(
-        F.lit(0).alias("partition"),
-        seq.alias("offset"),
-        seq.alias("seq"),
+        *_arrival(F.col("day"), key, line, F.col("l_partkey"), F.col("l_suppkey"), F.col("ms"), F.col("l_quantity")),
         F.when(key % 101 == 5, F.substring(text, 1, 20)).otherwise(text).alias("value"),
     )
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ORDER_CREATED with the order's lines, and 40 days later ORDER_COMPLETED for two orders in three."""
     li, key = table(spark, sf_dir, "lineitem"), F.col("o_orderkey")
     item = F.struct(
@@ -123,8 +142,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("ORD-"), key).alias("order_id"),
             *items,
         )
-        seq = _arrival(F.col("day") + shift, key, F.lit(0), F.lit(shift).cast("bigint"))
-        return df.select(F.lit(0).alias("partition"), seq.alias("offset"), seq.alias("seq"), F.to_json(event).alias("value"))
+        return df.select(*_arrival(F.col("day") + shift, key, 0, shift, 0, ms, 0), F.to_json(event).alias("value"))
 
     created = rows(orders, "ORDER_CREATED", 0, [F.transform("lines", lambda x: x["item"]).alias("items")])
     return created.unionByName(rows(orders.filter(key % 3 != 0), "ORDER_COMPLETED", 40, []))
@@ -140,7 +158,7 @@ wh_all AS (
   UNION ALL SELECT * REPLACE (day + 1 AS day) FROM wh_rows WHERE l_orderkey % 20 = 3
   UNION ALL SELECT * REPLACE (day + 400 AS day, ts + INTERVAL 400 DAY AS ts) FROM wh_rows WHERE l_orderkey % 20 = 7),
 wh AS (
-  SELECT ((CAST(day AS BIGINT) * 268435456 + l_orderkey) * 8 + l_linenumber) * 65536 + l_partkey % 65536 AS seq, ts,
+  SELECT row_number() OVER (ORDER BY day, l_orderkey, l_linenumber, l_partkey, l_suppkey, ts, l_quantity) AS seq, ts, day,
     l_orderkey % 101 = 5 AS unreadable,
     CASE WHEN l_orderkey % 89 <> 5 AND l_orderkey % 101 <> 5 THEN l_orderkey || '-' || l_linenumber || '-' || l_partkey END AS event_id,
     CASE WHEN l_orderkey % 97 = 5 THEN 'PRODUCT_SCANNED' WHEN l_linenumber <= 2 THEN 'PRODUCT_RECEIVED'
@@ -184,7 +202,7 @@ f AS (
         ELSE z[i] END) AS nz
     FROM f JOIN ev ON ev.product_id = f.product_id AND ev.rn = f.rn + 1)),
 outcomes AS (
-  SELECT w.seq, w.ts, w.event_id, w.event_type, w.product_id, w.zi, w.q, w.unreadable,
+  SELECT w.seq, w.ts, w.day, w.event_id, w.event_type, w.product_id, w.zi, w.q, w.unreadable,
     coalesce(w.bad, f.code) AS found,
     CASE WHEN coalesce(w.bad, f.code) = '' THEN 'processed'
       WHEN coalesce(w.bad, f.code) IN ('out_of_order', 'duplicate') THEN 'skipped' ELSE 'failed' END AS outcome

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import warehouse as W
 from eventloom.session import materialize
-from eventloom.sources.stores import VersionedTables
+from eventloom.sources.stores import VersionedTables, claim, stream_id
 from eventloom.sources.warehouse import decode
 from eventloom.streaming.movies import run_once
 
@@ -50,6 +50,7 @@ def apply_batch(store: VersionedTables, messages: DataFrame, batch: int, failed_
             "dead_letters": W.dead_letters(outcomes, TOPIC, failed_at),
             "ledger": W.processed_ledger(outcomes),
         },
+        {"history": ("event_date", "event_timestamp")},
     )
 
 
@@ -64,6 +65,13 @@ def inventory_views(stock: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_stream(spark: SparkSession, folder: str, store: VersionedTables, checkpoint: str, failed_at: str) -> None:
-    """Drain a folder of message files, one file per micro-batch in arrival order."""
-    stream = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1).parquet(folder)
-    run_once(stream, lambda w: w.foreachBatch(lambda df, n: apply_batch(store, df, n, failed_at)), checkpoint)
+    """Drain what is new in a folder of message files as one micro-batch.
+
+    Batch numbers mean something for one checkpoint only, so the store belongs to it: another one raises.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        claim(spark, store.path, stream_id(spark, checkpoint))
+        apply_batch(store, batch, number, failed_at)
+
+    run_once(spark.readStream.schema(MESSAGE).parquet(folder), lambda w: w.foreachBatch(write), checkpoint)

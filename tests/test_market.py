@@ -255,3 +255,20 @@ def test_seats_equal_brute_force(spark, limit):
     seats = {r.flight_id: r.available_seats for r in result.flights.collect()}
     assert {f: seats[f] for f in left} == left
     assert {"OK", "RESOURCE_EXHAUSTED", "ALREADY_EXISTS", "FAILED_PRECONDITION", "NOT_FOUND", "INVALID_ARGUMENT"} == set(want)
+
+
+@pytest.mark.parametrize("limit", [100, 2000])
+def test_rate_limit_of_a_hot_user_without_shared_events(spark, limit):
+    """One user's operations in many segments; no event touches a second key."""
+    rng = random.Random(4)
+    at, now = [], 0
+    for _ in range(200):
+        now += rng.choice((5, 20, 61, 90))
+        at.append(now)
+    ops = spark.createDataFrame([(i, "hot", "CREATE_ORDER", T0 + dt.timedelta(seconds=s)) for i, s in enumerate(at)], "seq BIGINT, user_id STRING, operation_type STRING, created_at TIMESTAMP")
+    last, want = None, {}
+    for i, s in enumerate(at):
+        want[i] = last is None or s - last >= 60
+        last = s if want[i] else last
+    got = {r.seq: r.accepted for r in rate_limited(ops, max_group_rows=limit).collect()}
+    assert got == want

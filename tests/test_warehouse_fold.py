@@ -3,8 +3,10 @@
 import datetime as dt
 import json
 import random
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from eventloom.operators.warehouse import dead_letters, event_history, fold_warehouse
@@ -183,10 +185,10 @@ def test_hot_product_is_cut_into_segments(spark, limit):
 def test_stream_of_batches_equals_one_batch(spark):
     events = script(11)
     base = work_dir(spark, "stream-test")
-    for i in range(0, len(events), 130):
-        messages(spark, events[i : i + 130], i).coalesce(1).write.mode("append").parquet(f"{base}/topic")
     store = VersionedTables(spark, f"{base}/store")
-    run_stream(spark, f"{base}/topic", store, f"{base}/checkpoint", "2024-01-01T00:00:00Z")
+    for i in range(0, len(events), 130):
+        messages(spark, events[i : i + 130], i).write.mode("append").parquet(f"{base}/topic")
+        run_stream(spark, f"{base}/topic", store, f"{base}/checkpoint", "2024-01-01T00:00:00Z")
     want, zones, orders = brute(events)
     got = {r.seq: r.code or "" for r in store.log("outcomes").collect()}
     assert [got[i] for i in range(len(events))] == want
@@ -195,6 +197,11 @@ def test_stream_of_batches_equals_one_batch(spark):
     assert store.log("ledger").count() == want.count("")
     apply_batch(store, messages(spark, events[:10]), 0, "2024-01-01T00:00:00Z")
     assert store.log("ledger").count() == want.count("")
+    with pytest.raises(StreamingQueryException):  # a new checkpoint counts its batches from zero
+        run_stream(spark, f"{base}/topic", store, f"{base}/checkpoint-2", "2024-01-01T00:00:00Z")
+    assert store.log("ledger").count() == want.count("")
+    days = f"{base}/store/history/batch=0"
+    assert any(p.name.startswith("event_date=") for p in Path(days.removeprefix("file:")).iterdir())
 
 
 def zone_a(spark, events, product="sku"):
