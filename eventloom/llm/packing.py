@@ -31,8 +31,8 @@ WINDOW, SEGMENT, MIN_PIECE, END_ID = 4096, 1 << 18, 128, 2
 CACHE = 400_000  # words a task remembers
 GROUP = 4000  # new words encoded at once
 # How the tokenizer splits text into words after lower-casing (fixed value, its published pattern, for the characters
-# of PLAIN: endings, letters, single digits, marks).
-SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
+# of PLAIN: letters, endings, single digits, marks).
+SPLIT = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
 #: Characters outside which a text goes to the tokenizer as it is: here lower-casing and normalisation are simple.
 PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa0-\u024f]")
 WORD_END = "</w>"
