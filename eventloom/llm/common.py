@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of two short columns (some 50 MB) that may be sent to every task.
+MOST_BROADCAST_ROWS = 1_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,8 +41,12 @@ def without(docs: DataFrame, dropped: DataFrame, listed: DataFrame, key: Column,
     """``docs`` without the rows that ``dropped`` or ``listed`` name, plus one row for each key of ``listed``.
 
     ``on`` matches a row of ``docs`` with one of the two tables (both have the same columns); ``key`` groups the rows
-    that stand for one document, of which the least stays. Dropped rows are the fewer, so they are what is joined."""
-    rest = docs.join(dropped.unionByName(listed), on, "left_anti")
+    that stand for one document, of which the least stays. Dropped rows are the fewer, so they are what is joined:
+    sent to every task while they are known to be few, by a shuffle beyond that."""
+    named = dropped.unionByName(listed)
+    if named.count() <= MOST_BROADCAST_ROWS:
+        named = F.broadcast(named)
+    rest = docs.join(named, on, "left_anti")
     if listed.isEmpty():
         return rest
     row = F.struct(*[F.col(c) for c in docs.columns])
