@@ -9,6 +9,7 @@ matched words and finds the span. Where spans overlap, the better alignment stay
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import defaultdict
@@ -84,20 +85,22 @@ class Index:
 
 
 def candidates(hits: list[tuple[int, int, int]], index: Index) -> list[tuple[int, int, int]]:
-    """(template, lowest and highest diagonal): hits of a template whose diagonals lie within the band of each other."""
-    by_template, out = defaultdict(list), []
-    for t, p, q in hits:
-        by_template[t].append(q - p)
-    for t, diagonals in by_template.items():
-        diagonals.sort()
-        first = last = diagonals[0]
-        for d in diagonals[1:]:
-            if d - last > BAND or d - first > len(index.words[t]):
-                out.append((t, first, last))
-                first = d
-            last = d
-        out.append((t, first, last))
-    return out
+    """(template, lowest and highest diagonal) of each chain of hits: a hit joins the nearest open chain of its template
+    that lies within the band and has come less far in the template; else it opens one. A chain closes a template's
+    length after its last hit, so a text that repeats a license has a chain for each time."""
+    chains, open_ = [], defaultdict(list)
+    for q, p, t in sorted((q, p, t) for t, p, q in hits):
+        diagonal = q - p
+        open_[t] = [c for c in open_[t] if q - c[4] <= len(index.words[t]) + BAND]
+        near = [c for c in open_[t] if c[3] < p and abs(c[5] - diagonal) <= BAND]
+        if near:
+            chain = min(near, key=lambda c: abs(c[5] - diagonal))
+            chain[1:] = [min(chain[1], diagonal), max(chain[2], diagonal), p, q, diagonal]
+        else:
+            chain = [t, diagonal, diagonal, p, q, diagonal]
+            open_[t].append(chain)
+            chains.append(chain)
+    return [(t, low, high) for t, low, high, *_ in chains]
 
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[float, int, int, int]:
@@ -139,16 +142,24 @@ def scan_text(text: str, index: Index, least: float = LEAST_COVERAGE) -> list[di
     hits = index.hits(words)
     if not hits:
         return []
-    found = []
-    for t, low, high in candidates(hits, index):
+    queue: list[tuple] = []
+
+    def measure(t: int, low: int, high: int) -> None:
         score, matched, begin, end = align(index.words[t], words, low, high)
         coverage = matched / len(index.words[t])
         if coverage >= least:
-            found.append({"score": score, "template": t, "license": index.names[t], "matched_words": matched, "coverage": coverage, "begin": begin, "end": end})
+            heapq.heappush(queue, (-score, t, begin, low, high, end, matched, coverage))
+
+    for chain in candidates(hits, index):
+        measure(*chain)
     kept: list[dict] = []
-    for one in sorted(found, key=lambda x: (-x["score"], x["template"], x["begin"])):
-        if all(one["end"] <= x["begin"] or one["begin"] >= x["end"] for x in kept):
-            kept.append(one)
+    while queue:
+        score, t, begin, low, high, end, matched, coverage = heapq.heappop(queue)
+        if (words[begin:end] < 0).any():  # a better one has taken words of it: measure what is left
+            measure(t, low, high)
+            continue
+        kept.append({"template": t, "license": index.names[t], "matched_words": matched, "coverage": coverage, "begin": begin, "end": end})
+        words[begin:end] = -1
     spans = [m.span() for m in WORD.finditer(text)]
     for one in kept:
         one["start_char"], one["end_char"] = spans[one["begin"]][0], spans[one["end"] - 1][1]
