@@ -44,9 +44,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _uniform(keys: np.ndarray, stream: int, places: np.ndarray) -> np.ndarray:
-    """In (0, 1), by row key, stream and place."""
-    bits = _mixed(_mixed(keys ^ _mixed(np.full(1, stream, np.uint64))) ^ places.astype(np.uint64))
+def _streams(keys: np.ndarray, stream: int) -> np.ndarray:
+    """A key for each row and stream of random numbers."""
+    return _mixed(keys ^ _mixed(np.full(1, stream, np.uint64)))
+
+
+def _uniform(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """In (0, 1), by key and place."""
+    bits = _mixed(keys + places.astype(np.uint64))
     return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
@@ -86,7 +91,7 @@ class Vocabulary:
             order = np.argsort(marks)
             if (np.diff(marks[order]) == 0).any():
                 raise ValueError("two beginnings of pieces have one hash")
-            self.tables.append((marks[order], np.fromiter(starts[n].values(), np.int64)[order]))
+            self.tables.append(_Table(marks[order], np.fromiter(starts[n].values(), np.int64)[order]))
         self.neighbours = np.array(sorted({ord(a) << 21 | ord(b) for p in known for a, b in zip(p, p[1:])}), np.int64)
 
         # Where pieces never cross: before a space, and before marks that no piece has after a letter or digit.
@@ -100,12 +105,36 @@ class Vocabulary:
     def chunks(self, text: str) -> list[str]:
         return self.split.findall(self.model.normalize(text)) if text else []
 
+    def spells(self, ids, text: bytes) -> bool:
+        """Whether a sequence of ids decodes to ``text`` (UTF-8)."""
+        data = b"".join(map(self.decoded.__getitem__, ids))
+        return data[1 if data[:1] == b" " else 0 :] == text
+
     def text(self, ids) -> str:
         """The text of a sequence of ids, without the space that encoding puts first."""
         data = b"".join(map(self.decoded.__getitem__, ids))
         return data.decode("utf-8", "replace")[1 if data[:1] == b" " else 0 :]
 
 
+class _Table:
+    """Sorted hashes with the piece of each; the leading bits of a hash tell where to start looking."""
+
+    def __init__(self, marks: np.ndarray, ids: np.ndarray):
+        bits = len(marks).bit_length() + 1
+        self.marks, self.ids, self.shift = np.append(marks, np.uint64(2**64 - 1)), ids, np.uint64(64 - bits)
+        self.starts = np.searchsorted(marks, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def find(self, marks: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 where it is not in the table."""
+        place = self.starts[marks >> self.shift]
+        on = np.flatnonzero(self.marks[place] < marks)
+        while len(on):
+            place[on] += 1
+            on = on[self.marks[place[on]] < marks[on]]
+        place[(self.marks[place] != marks) | (place == len(self.ids))] = -1
+        return place
+
+
 @lru_cache(maxsize=1)
 def vocabulary_of(path: str, scores: str, temperature: float) -> Vocabulary:
     """A worker keeps its vocabulary from task to task."""
@@ -160,15 +189,15 @@ class Lattices:
     def _edges(v: Vocabulary, codes: np.ndarray, end: np.ndarray):
         """From and to node and id of each piece found: all beginnings grow by a character at a time."""
         at, marks, found = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
-        for n, (table, ids) in enumerate(v.tables, 1):
+        for n, table in enumerate(v.tables, 1):
             inside = at + n <= end[at]
             at, marks = at[inside], marks[inside]
             if not len(at):
                 break
             marks = _rolled(marks, codes[at + n - 1].astype(np.uint64))
-            place = np.minimum(np.searchsorted(table, marks), len(table) - 1)
-            alive = table[place] == marks
-            at, marks, own = at[alive], marks[alive], ids[place[alive]]
+            place = table.find(marks)
+            alive = place >= 0
+            at, marks, own = at[alive], marks[alive], table.ids[place[alive]]
             whole = own >= 0
             found.append((at[whole], at[whole] + n, own[whole]))
         if not found:
@@ -228,10 +257,6 @@ class Lattices:
             log, place = np.concatenate([log, np.zeros(len(a))]), np.concatenate([place, more_places])
         return begin, to, piece, log, place
 
-    def spots(self, words: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        """A number for each place in a text, from the word's number and the place in the word."""
-        return _mixed(words.astype(np.uint64)) + self.place[nodes].astype(np.uint64)
-
     def _drawn(self, nodes: np.ndarray, goal: np.ndarray) -> np.ndarray:
         """The first edge of each node whose cumulated value passes ``goal``; nodes have few edges, so they are tried in turn."""
         edge, last = self.begin[nodes], self.begin[nodes + 1] - 1
@@ -241,12 +266,12 @@ class Lattices:
             on = on[(self.cumulated[edge[on]] <= goal[on]) & (edge[on] < last[on])]
         return edge
 
-    def walk(self, nodes: np.ndarray, keys: np.ndarray, words: np.ndarray, stream: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def walk(self, nodes: np.ndarray, keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """From each start node to the word's end: (start's index, node, edge) in path order. ``words`` numbers the
         words within a text and tells equal words' random numbers apart."""
-        index, parts = np.arange(len(nodes)), []
+        index, parts, seeds = np.arange(len(nodes)), [], _mixed(keys + words.astype(np.uint64))
         while len(index):
-            u = _uniform(keys[index], stream, self.spots(words[index], nodes))
+            u = _uniform(seeds[index], self.place[nodes])
             edge = self._drawn(nodes, nodes + u)
             parts.append((index, nodes, edge))
             on = self.to[edge] >= 0
@@ -272,12 +297,13 @@ def _rest(log: np.ndarray) -> np.ndarray:
 
 
 class _Path:
-    """A drawn segmentation: word number, node and edge of each step, and the open sets beside it."""
+    """A drawn segmentation: word number, node and edge of each step, and the open sets beside it from step ``split``
+    on; those before belong to the path that it left. ``log`` is the log-probability of the steps before."""
 
-    __slots__ = ("word", "node", "edge", "value", "open", "taken", "split")
+    __slots__ = ("word", "node", "edge", "value", "open", "taken", "split", "log")
 
-    def __init__(self, word, node, edge, value, split, taken):
-        self.word, self.node, self.edge, self.value, self.split, self.taken = word, node, edge, value, split, taken
+    def __init__(self, word, node, edge, value, split, taken, log):
+        self.word, self.node, self.edge, self.value, self.split, self.taken, self.log = word, node, edge, value, split, taken, log
 
 
 def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
@@ -288,39 +314,38 @@ def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k:
     starts = np.fromiter(map(lattices.first.__getitem__, chain.from_iterable(texts)), np.int64, int(count.sum()))
     offset = np.concatenate([[0], np.cumsum(count)])
     number = np.arange(len(starts)) - np.repeat(offset[:-1], count)
-    value = -np.log(-np.log(_uniform(keys, 0, np.zeros(len(keys)))))
+    value = -np.log(-np.log(_uniform(_streams(keys, 0), np.zeros(len(keys)))))
     found: list[list[_Path]] = [[] for _ in texts]
 
     def opened(paths: list[_Path], owners: np.ndarray, stream: int) -> None:
         """Draws the largest value of each open set beside the paths, for all paths at once."""
-        sizes = np.array([len(p.edge) for p in paths], np.int64)
+        sizes = np.array([len(p.edge) - p.split for p in paths], np.int64)
         stops = np.cumsum(sizes)
-        edge, node, word = (np.concatenate([getattr(p, x) for p in paths]) for x in ("edge", "node", "word"))
+        edge, node, word = (np.concatenate([getattr(p, x)[p.split :] for p in paths]) for x in ("edge", "node", "word"))
         log = lattices.log[edge]
         total = np.concatenate([[0.0], np.cumsum(log)])
-        before = total[:-1] - np.repeat(total[stops - sizes], sizes)
+        before = total[:-1] + np.repeat([p.log for p in paths] - total[stops - sizes], sizes)
         location = before + _rest(log)
         for p, start in zip(paths, (stops - sizes).tolist()):
-            if p.split >= 0:
-                location[start : start + p.split] = -np.inf  # those belong to the path it left
+            if p.taken:
                 left = 1.0 - float(np.exp(lattices.log[list(p.taken)]).sum())
                 at = p.node[p.split]
                 more = lattices.begin[at + 1] - lattices.begin[at] > len(p.taken)
-                location[start + p.split] = before[start + p.split] + math.log(left) if left > 1e-12 and more else -np.inf
-        u = _uniform(np.repeat(owners, sizes), stream, lattices.spots(word, node))
+                location[start] = p.log + math.log(left) if left > 1e-12 and more else -np.inf
+        u = _uniform(_mixed(np.repeat(_streams(owners, stream), sizes) + word.astype(np.uint64)), lattices.place[node])
         values = _cut_off(location, np.repeat([p.value for p in paths], sizes), u)
         for p, start, stop in zip(paths, (stops - sizes).tolist(), stops.tolist()):
             p.open = values[start:stop]
 
-    index, node, edge = lattices.walk(starts, np.repeat(keys, count), number, 1)
+    index, node, edge = lattices.walk(starts, np.repeat(_streams(keys, 1), count), number)
     bounds = np.searchsorted(index, offset)
     for d in range(len(texts)):
         at = slice(bounds[d], bounds[d + 1])
-        found[d].append(_Path(number[index[at]], node[at], edge[at], value[d], -1, ()))
+        found[d].append(_Path(number[index[at]], node[at], edge[at], value[d], 0, (), 0.0))
     if texts:
         opened([paths[0] for paths in found], keys, 2)
     for s in range(1, k):
-        chosen, nodes, owners, words, heads = [], [], [], [], []
+        chosen, nodes, words, heads = [], [], [], []
         for d, paths in enumerate(found):
             if len(paths) < s or not count[d]:
                 continue
@@ -329,30 +354,31 @@ def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k:
                 continue
             t = int(best.open.argmax())
             top, best.open[t] = float(best.open[t]), -np.inf
+            used = best.taken if t == 0 and best.taken else (int(best.edge[best.split + t]),)
+            before = best.log + float(lattices.log[best.edge[best.split : best.split + t]].sum())
+            t += best.split
             at = best.node[t]
-            used = best.taken if t == best.split else (int(best.edge[t]),)
             free = np.array([e for e in range(lattices.begin[at], lattices.begin[at + 1]) if e not in used])
             weight = np.cumsum(np.exp(lattices.log[free]))
-            u = float(_uniform(keys[d : d + 1], 3 * s, np.array([t]))[0])
+            u = float(_uniform(_streams(keys[d : d + 1], 3 * s), np.array([t]))[0])
             e = int(free[min(np.searchsorted(weight, u * weight[-1], side="right"), len(free) - 1)])
             word = int(best.word[t])
             go = ([lattices.to[e]] if lattices.to[e] >= 0 else [])
             rest = starts[offset[d] + word + 1 : offset[d + 1]]
             nodes.append(np.concatenate([go, rest]).astype(np.int64))
             words.append(np.concatenate([[word] * len(go), np.arange(word + 1, count[d])]).astype(np.int64))
-            owners.append(np.full(len(nodes[-1]), keys[d]))
             chosen.append(d)
-            heads.append((best, t, e, top, (*used, e)))
+            heads.append((best, t, e, top, (*used, e), before))
         if not chosen:
             break
-        index, node, edge = lattices.walk(np.concatenate(nodes), np.concatenate(owners), np.concatenate(words), 3 * s + 1)
-        place = np.concatenate(words)
-        bounds = np.searchsorted(index, np.concatenate([[0], np.cumsum([len(n) for n in nodes])]))
-        for i, (d, (best, t, e, top, taken)) in enumerate(zip(chosen, heads)):
+        sizes, place = np.array([len(n) for n in nodes]), np.concatenate(words)
+        index, node, edge = lattices.walk(np.concatenate(nodes), np.repeat(_streams(keys[chosen], 3 * s + 1), sizes), place)
+        bounds = np.searchsorted(index, np.concatenate([[0], np.cumsum(sizes)]))
+        for i, (d, (best, t, e, top, taken, before)) in enumerate(zip(chosen, heads)):
             at = slice(bounds[i], bounds[i + 1])
             path = _Path(
                 np.concatenate([best.word[: t + 1], place[index[at]]]), np.concatenate([best.node[: t + 1], node[at]]),
-                np.concatenate([best.edge[:t], [e], edge[at]]), top, t, taken,
+                np.concatenate([best.edge[:t], [e], edge[at]]), top, t, taken, before,
             )
             found[d].append(path)
         opened([found[d][s] for d in chosen], keys[chosen], 3 * s + 2)
@@ -388,8 +414,9 @@ def encode_samples(docs: DataFrame, path: str, k: int = SAMPLES, seed: int = SEE
         def flush(ids: list, whole: list, texts: list, keys: list) -> pa.RecordBatch:
             columns: list[list] = [[] for _ in schema]
             for doc_id, text, rows in zip(ids, whole, sample(vocabulary, texts, np.array(keys, np.int64).view(np.uint64), k)):
+                text = text.encode("utf-8", "surrogatepass")
                 for s, (pieces, log, value, inclusion) in enumerate(rows):
-                    same = vocabulary.text(pieces.tolist()) == text
+                    same = vocabulary.spells(pieces.tolist(), text)
                     for column, x in zip(columns, (doc_id, s, pieces.tobytes(), len(pieces), log, value, inclusion, same)):
                         column.append(x)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
