@@ -33,6 +33,8 @@ HEADLINE = (
     "src5_decode_warehouse",
     "fold9_dispatch_outcome",
     "bkg1_reserve_seats",
+    "obs7_alerts",
+    "str7_dead_letter_split",
 )
 
 

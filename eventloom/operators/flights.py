@@ -195,5 +195,7 @@ def create_and_cancel(decisions: DataFrame) -> DataFrame:
 
 def cancel_outcomes(decisions: DataFrame) -> DataFrame:
     """Release results in booking terms."""
-    word = F.when(F.col("code") == "OK", "cancelled").when(F.col("code") == "NOT_FOUND", "not_found").otherwise("already_cancelled")
+    words = (("OK", "cancelled"), ("NOT_FOUND", "not_found"), ("INVALID_ARGUMENT", "invalid"))
+    named = F.create_map(*[F.lit(x) for pair in words for x in pair])
+    word = F.coalesce(named[F.col("code")], F.lit("already_cancelled"))
     return decisions.filter("kind = 'RELEASE'").select("seq", "booking_id", word.alias("outcome"))

@@ -155,7 +155,7 @@ def _(spark, sf):
     return L.create_and_cancel(_decided(spark, sf).decisions)
 
 
-@query("bkg3_cancel_booking", f"""{_SEAT_SQL} SELECT seq, booking_id, CASE code WHEN 'OK' THEN 'cancelled' WHEN 'NOT_FOUND' THEN 'not_found'
+@query("bkg3_cancel_booking", f"""{_SEAT_SQL} SELECT seq, booking_id, CASE code WHEN 'OK' THEN 'cancelled' WHEN 'NOT_FOUND' THEN 'not_found' WHEN 'INVALID_ARGUMENT' THEN 'invalid'
   ELSE 'already_cancelled' END AS outcome FROM d WHERE kind = 'RELEASE'""")
 def _(spark, sf):
     return L.cancel_outcomes(_decided(spark, sf).decisions)

@@ -48,6 +48,30 @@ def _(spark, sf):
     return found.select("product_id", "name", "price", "stock")
 
 
+@query("flt6_relational_lookup", f"""WITH {M.USERS_SQL}, {M.PRODUCTS_SQL}, {M.PROMOS_SQL}, {M.ORDERS_SQL}, {M.FLIGHTS_SQL}, {M.BOOKINGS_SQL}
+  SELECT 'order' AS lookup, order_id AS id, status AS value FROM shop_orders WHERE order_id = 'o7'
+  UNION ALL SELECT 'product', product_id, name FROM products WHERE product_id = 'p42'
+  UNION ALL SELECT 'promo', code, CAST(active AS VARCHAR) FROM promos WHERE code = 'SAVE10'
+  UNION ALL SELECT 'user', user_id, role FROM users WHERE user_id = 'u7'
+  UNION ALL SELECT 'flight', flight_id, status FROM flights WHERE flight_id = 'F42'
+  UNION ALL SELECT 'booking', booking_id, status FROM bookings WHERE booking_id LIKE '7-1-%'""")
+def _(spark, sf):
+    """One row by its key from each relation; the filter reaches the scan wherever the key is a column of it."""
+    found = (
+        ("order", M.orders(spark, sf), "order_id", F.col("order_id") == "o7", F.col("status")),
+        ("product", M.products(spark, sf), "product_id", F.col("product_id") == "p42", F.col("name")),
+        ("promo", M.promos(spark, sf), "code", F.col("code") == "SAVE10", F.col("active").cast("string")),
+        ("user", M.users(spark, sf), "user_id", F.col("user_id") == "u7", F.col("role")),
+        ("flight", M.flights(spark, sf), "flight_id", F.col("flight_id") == "F42", F.col("status")),
+        ("booking", M.bookings(spark, sf), "booking_id", F.col("booking_id").like("7-1-%"), F.col("status")),
+    )
+    out = None
+    for name, df, key, condition, value in found:
+        rows = df.filter(condition).select(F.lit(name).alias("lookup"), F.col(key).alias("id"), value.alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("flt8_orders_visible_to", f"""WITH {M.ORDERS_SQL} SELECT 'u7' AS viewer, order_id, user_id, status, created_at FROM shop_orders WHERE user_id = 'u7'
   UNION ALL SELECT 'admin', order_id, user_id, status, created_at FROM shop_orders""")
 def _(spark, sf):

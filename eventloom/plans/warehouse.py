@@ -198,6 +198,18 @@ def _(spark, sf):
     return out
 
 
+@query("flt6_log_lookup", f"""{FOLD_SQL} SELECT 'day' AS lookup, event_id, event_type FROM outcomes
+    WHERE outcome = 'processed' AND CAST(ts AS DATE) = DATE '1998-06-01'
+  UNION ALL SELECT 'event', event_id, event_type FROM outcomes WHERE outcome = 'processed' AND event_id LIKE '34-%'""")
+def _(spark, sf):
+    """History of a day (one directory of it) and processed events by id."""
+    store = _run(spark, sf, "products")
+    day = store.log("history").filter(F.col("event_date") == F.lit("1998-06-01").cast("date"))
+    known = store.log("ledger").filter(F.col("event_id").like("34-%"))
+    rows = [df.select(F.lit(name).alias("lookup"), "event_id", "event_type") for name, df in (("day", day), ("event", known))]
+    return rows[0].unionByName(rows[1])
+
+
 @query("win3_stale_events", f"""{_EVENTS} SELECT seq, product_id, zi, coalesce(ts <= max(ts) OVER (PARTITION BY product_id, zi ORDER BY seq
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS is_stale FROM wh WHERE NOT unreadable AND event_type <> 'PRODUCT_MOVED'""")
 def _(spark, sf):
