@@ -128,7 +128,7 @@ class Writer:
         files, path = _open(f"{folder}/{uuid.uuid4().hex}.warc.zst")
         files.create_dir(path.rpartition("/")[0], recursive=True)
         self.path, self.records, self.bytes = f"{folder}/{path.rpartition('/')[2]}", 0, 0
-        self.sink = files.open_output_stream(path)
+        self.sink = files.open_output_stream(path, compression=None)
         data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.packer = zstandard.ZstdCompressor(LEVEL, dict_data=data, write_checksum=True, write_content_size=True)
         if dictionary:
@@ -193,7 +193,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
         for batch in batches:
             rows = batch.to_pydict()
             payloads = [(x or "").encode("utf-8", "surrogatepass") for x in rows["html"]]
-            if not known:
+            if not known and batch.num_rows:
                 known, dictionary = True, make_dictionary([x for x in payloads[:DICTIONARY_RECORDS] if x])
             for page_id, url, payload, refers_to, revisit in zip(rows["page_id"], rows["url"], payloads, rows["refers_to"], rows["revisit"]):
                 if archive is None:
@@ -223,7 +223,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
             for path, told in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 files, place = _open(path)
                 rows, held, seen = [], 0, 0
-                with files.open_input_stream(place) as source:
+                with files.open_input_stream(place, compression=None) as source:
                     for at, content in _frames(source, path):
                         row = parse(content, f"{path} at {at}")
                         row["payload"] = row["payload"] if payloads else None
