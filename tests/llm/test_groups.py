@@ -10,7 +10,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from eventloom.llm import exact_dedup, kd_shards, simhash_trie
+import corpus_pipeline
+from eventloom.llm import exact_dedup, kd_shards, near_copies, simhash_trie
 
 SF = "/root/testdata/sf0.001"
 
@@ -171,3 +172,96 @@ def test_near_kept_rows(spark, awkward, nothing):
     got = [r.doc_id for r in kept.collect()]
     assert sorted(x for x in got if x is not None) == sorted(i for i, c in found.items() if i == c) and got.count(None) == 1
     assert simhash_trie.near_dedup(nothing).count() == 0 and simhash_trie.kept_rows(nothing).count() == 0
+
+
+def brute_shingles(text):
+    words = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_near(rows):
+    """component of each row, by the Jaccard similarity of all pairs; and the pairs of different sets."""
+    sets, parent = [brute_shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    pairs = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and (a == b or 10 * len(a & b) >= 8 * len(a | b)):
+                parent[root(i)] = root(j)
+                if a != b:
+                    pairs.append((rows[i][0], rows[j][0]))
+    least = {}
+    for i, (x, _) in enumerate(rows):
+        least[root(i)] = min(least.get(root(i), x), x)
+    return [least[root(i)] for i in range(len(rows))], pairs
+
+
+def near_texts():
+    """Copies with a word changed, cut or added, of similarity around 0.8; a chain; a group that shares one passage."""
+    rng = np.random.default_rng(5)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    out = []
+    for n in [4, 5, 9, 30, 45, 46, 47, 60, 120, 400]:
+        base = new(n)
+        out.append(base)
+        for changes in (1, 2, 3, n // 45, n // 45 + 1):
+            copy = list(base)
+            for at in rng.integers(0, n, changes):
+                copy[at] = f"x{rng.integers(10**6)}"
+            out += [copy, base[changes:], base + new(changes)]
+    chain = new(200)
+    for k in range(12):
+        chain = chain[15:] + new(15)
+        out.append(chain)
+    common = new(40)
+    out += [common + new(int(rng.integers(5, 60))) for _ in range(60)]
+    group = new(90)
+    for _ in range(80):
+        copy = list(group)
+        copy[rng.integers(90)] = f"y{rng.integers(10**6)}"
+        out.append(copy)
+    return [" ".join(x).title() if i % 3 else " ".join(x) for i, x in enumerate(out)]
+
+
+def test_near_copies_against_brute_force(spark, awkward, monkeypatch):
+    made = spark.createDataFrame(list(enumerate(near_texts())), "doc_id long, text string").repartition(3)
+    for docs, chunk in ((documents(spark), 256), (awkward.filter("doc_id IS NOT NULL"), 256), (made, 7)):
+        monkeypatch.setattr(near_copies, "CHUNK", chunk)
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        want, _ = brute_near(rows)
+        assert sorted(rows_of(near_copies.near_copies(docs))) == sorted((i, c) for (i, _), c in zip(rows, want))
+
+
+def test_pipeline_drops_near_copies_beyond_three_bits(spark):
+    """Copies of a five-word similarity of 0.8 or more, whose three-word prints differ in more than three bits."""
+    made = spark.createDataFrame(list(enumerate(near_texts())), "doc_id long, text string")
+    rows = [(r.doc_id, r.text) for r in made.collect()]
+    component, pairs = brute_near(rows)
+    prints = {i: brute_fingerprint(t) for i, t in rows}
+    assert any((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs)
+    kept = {r.doc_id for r in corpus_pipeline.near(spark, made, SF).collect()}
+    assert kept == {i for (i, _), c in zip(rows, component) if i == c}
+
+
+def test_near_copies_rows(awkward, nothing):
+    kept = near_copies.kept_rows(awkward)
+    assert kept.columns == awkward.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(None) == 1 and len(set(ids)) == len(ids) and {0, 3, 11, 12, 13} & set(ids) == {0, 3, 12, 13}
+    assert near_copies.near_copies(nothing).count() == 0 and near_copies.kept_rows(nothing).count() == 0
+
+
+def test_bitmaps_rule_out_no_similar_pair():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 40, 300, 5000):
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for k in range(0, n // 6 + 2, max(1, n // 50)):
+            other = np.unique(np.concatenate([base[k:], rng.integers(0, 1 << 63, k // 2, dtype=np.uint64)]))
+            a, b = (np.frombuffer(near_copies.bitmap(x), np.uint64)[None] for x in (base, other))
+            assert near_copies.possible(a, b)[0] or not near_copies.similar(base, other)
