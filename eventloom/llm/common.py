@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.session import materialize
 
 #: Rows of two short columns (some 50 MB) that may be sent to every task.
 MOST_BROADCAST_ROWS = 1_000_000
@@ -52,3 +56,18 @@ def without(docs: DataFrame, dropped: DataFrame, listed: DataFrame, key: Column,
     row = F.struct(*[F.col(c) for c in docs.columns])
     once = docs.join(listed, on, "left_semi").groupBy(key.alias("key")).agg(F.min(row).alias("row"))
     return rest.unionByName(once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
+
+
+def tree_merged(parts: DataFrame, merge: Callable[[list[bytes]], bytes], fan: int = 32) -> DataFrame:
+    """One row per ``shard`` from rows (shard int, node long, payload binary): in each round, ``fan`` neighbouring nodes
+    of a shard become one, until every shard has a single node. A task holds ``fan`` payloads."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("node", kind="stable")
+        shard, node = int(frame["shard"].iloc[0]), int(frame["node"].iloc[0]) // fan
+        return pd.DataFrame({"shard": [shard], "node": [node], "payload": [merge(list(frame["payload"]))]})
+
+    while (parts.agg(F.max("node")).first()[0] or 0) > 0:
+        above = F.floor(F.col("node") / fan)
+        parts = materialize(parts.groupBy("shard", above.alias("above")).applyInPandas(run, "shard int, node long, payload binary"))
+    return parts

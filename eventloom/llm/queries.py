@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from eventloom.llm import bitsliced_topk, exact_dedup, gumbel_pieces, kd_shards, license_scan, packing, simhash_trie, toxicity_cnn, url_cascade, warc_zstd
+from eventloom.llm import (
+    bitsliced_topk, exact_dedup, gumbel_pieces, k2_treap, kd_shards, license_scan, maxent_lm, packing, simhash_trie, toxicity_cnn,
+    url_cascade, warc_zstd, whitening,
+)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -16,6 +19,9 @@ QUERIES = {
     "op8_toxicity_cnn": toxicity_cnn.op8_toxicity_cnn,
     "op9_simhash_trie": simhash_trie.op9_simhash_trie,
     "op10_gumbel_pieces": gumbel_pieces.op10_gumbel_pieces,
+    "op11_k2_treap": k2_treap.op11_k2_treap,
+    "op12_bidiagonal_whitening": whitening.op12_bidiagonal_whitening,
+    "op13_maxent_lm": maxent_lm.op13_maxent_lm,
     "pipeline": corpus_pipeline.run,
 }
 CHECKS = {
@@ -23,4 +29,5 @@ CHECKS = {
     "op4_bitsliced_topk": bitsliced_topk.SQL,
     "op5_warc_zstd": warc_zstd.SQL,
     "op6_url_cascade": url_cascade.SQL,
+    "op11_k2_treap": k2_treap.SQL,
 }
