@@ -33,6 +33,8 @@ ROW_BITS = 16  # rows of the hashed table, as a power of two
 LEAVES = 1 << 15  # words that get a leaf of their own, at most
 BLOCK_TOKENS = 1 << 21
 ROUNDS, BATCH, RATE = 4, 1 << 13, 0.1
+FEW = 4
+LARGEST = 80.0  # of a logit, so that its exponential fits in 32 bits
 SHARDS = 16  # in which the table is averaged
 END = b"\n"  # no word holds it
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))  # fixed values: odd multipliers
@@ -97,19 +99,30 @@ def contexts(leaves: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def asked(hashes: np.ndarray, on: np.ndarray, depth: int) -> np.ndarray:
+    """The features of a choice: the trigram, which comes last, belongs to the first one only."""
+    return hashes.take(on, axis=0)[:, : 2 if depth else 3]
+
+
 def rows_of(hashes: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     """Table rows of the features (token by feature) at the tokens' classes."""
     return (((hashes + (node.astype(np.uint64) * _MIX[1])[:, None]) * _MIX[0]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _exponentials(model: Model, rows: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token by part, and their sum by token. Logits are kept where neither overflows."""
+    x = model.base.take(node, axis=0)
+    for feature in range(rows.shape[1]):
+        x += model.weights.take(rows[:, feature], axis=0)
+    np.clip(x, -LARGEST, LARGEST, out=x)
+    np.exp(x, out=x)
+    return x, x @ np.ones(PARTS, np.float32)
+
+
 def chances(model: Model, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
     """Probabilities of the 16 parts, token by part."""
-    x = model.base[node] + model.weights[rows[:, 0]]
-    for feature in range(1, rows.shape[1]):
-        x += model.weights[rows[:, feature]]
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x, total = _exponentials(model, rows, node)
+    x /= total[:, None]
     return x
 
 
@@ -124,8 +137,22 @@ def score_tokens(model: Model, leaves: np.ndarray, starts: np.ndarray, bits: int
             if not len(on):
                 break
             node = node[on]
-            p = chances(model, rows_of(some[on], node, bits), node)
-            out[at + on] += np.log10(np.maximum(p[np.arange(len(on)), model.part[own[on], depth]], 1e-30))
+            x, total = _exponentials(model, rows_of(asked(some, on, depth), node, bits), node)
+            out[at + on] += np.log10(x[np.arange(len(on)), model.part[own[on], depth]] / total)
+    return out
+
+
+def _totals(x: np.ndarray, first: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows of ``x`` that begin at ``first``; most runs are short and are added place by place."""
+    out = x.take(first, axis=0)
+    for place in range(1, FEW):
+        at = np.flatnonzero((often > place) & (often <= FEW))
+        if len(at):
+            out[at] += x.take(first[at] + place, axis=0)
+    many = np.flatnonzero(often > FEW)
+    if len(many):
+        ends = np.stack([first[many], first[many] + often[many]], axis=1).ravel()
+        out[many] = np.add.reduceat(x, ends[:-1] if ends[-1] == len(x) else ends, axis=0)[::2]
     return out
 
 
@@ -134,6 +161,7 @@ class Trainer:
 
     def __init__(self, model: Model, bits: int, rate: float = RATE):
         self.start, self.bits, self.rate = model.weights, bits, rate
+        self.small = np.uint16 if bits <= 16 else np.int64
         self.model = Model(model.path, model.part, model.base, model.weights.copy())
         self.squares = np.full(len(model.weights), 1e-2, np.float32)
         self.met = np.zeros(len(model.weights), np.float32)
@@ -148,18 +176,20 @@ class Trainer:
                 if not len(on):
                     break
                 node = node[on]
-                rows = rows_of(some[on], node, self.bits)
+                rows = rows_of(asked(some, on, depth), node, self.bits)
                 slope = chances(model, rows, node)
                 slope[np.arange(len(on)), model.part[own[on], depth]] -= 1
                 for feature in range(rows.shape[1]):
-                    order = np.argsort(rows[:, feature])
-                    sorted_ = rows[order, feature]
+                    order = np.argsort(rows[:, feature].astype(self.small), kind="stable")  # of 16 bits: by radix
+                    sorted_ = rows[:, feature].take(order)
                     first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-                    row, often = sorted_[first], np.diff(np.append(first, len(sorted_))).astype(np.float32)
-                    total = np.add.reduceat(slope[order], first, axis=0)
-                    self.squares[row] += (total * total).sum(axis=1) / PARTS
+                    row, often = sorted_[first], np.diff(np.append(first, len(sorted_)))
+                    total = _totals(slope.take(order, axis=0), first, often)
+                    squares = self.squares.take(row) + np.einsum("ij,ij->i", total, total) / PARTS
+                    total *= (self.rate / np.sqrt(squares))[:, None]
+                    self.squares[row] = squares
                     self.met[row] += often
-                    model.weights[row] -= self.rate * total / np.sqrt(self.squares[row])[:, None]
+                    model.weights[row] = model.weights.take(row, axis=0) - total
 
     def change(self) -> np.ndarray:
         """Row by (16 changes times the times met, times met)."""

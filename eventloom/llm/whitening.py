@@ -32,7 +32,8 @@ def whole_rows(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     or hold a null or non-finite component."""
     x = F.col(vector_col)
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    parts = F.transform(x, lambda v: (F.floor(v.cast("double") * scale) + shift).cast("long"))
+    bound = float(2 * MOST)  # still too large for :func:`whiten`, which raises
+    parts = F.transform(x, lambda v: F.floor(F.greatest(F.least(v.cast("double") * scale, F.lit(bound)), F.lit(-bound))) + shift)
     return vectors.filter((F.size(x) > 0) & finite).select(F.col(id_col).alias("vec_id"), parts.alias("parts"))
 
 
