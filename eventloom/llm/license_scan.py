@@ -2,7 +2,8 @@
 
 Templates are short, so their inverted index (word triple to template and place) has a bounded size and travels
 with the tasks. Of each two neighbouring triples of a template the one with the smaller hash is indexed, so any
-shared run of four words meets the index. All triples of a text are looked up. Hits of one template that lie close
+shared run of four words meets the index. Templates of which the least coverage need not leave such a run are indexed by
+all their triples, or by all their pairs, where two hits make a candidate. All triples and pairs of a text are looked up. Hits of one template that lie close
 in the text and near one diagonal are one candidate; a local alignment in a band around those diagonals counts the
 matched words and finds the span. Where spans overlap, the better alignment stays.
 """
@@ -14,6 +15,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +51,10 @@ WORD = re.compile(r"\w+")
 class Index:
     """The templates' words and the inverted index of their winnowed triples."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]]):
+    def __init__(self, templates: Sequence[tuple[str, str]], least: float = 0.8):
         self.vocabulary: dict[str, int] = {}
-        self.names, self.words, places = [], [], defaultdict(list)
+        self.names, self.words, places, pairs = [], [], defaultdict(list), defaultdict(list)
+        self.by_pairs: set[int] = set()
         for name, text in templates:
             found = [self.vocabulary.setdefault(w.lower(), len(self.vocabulary) + 1) for w in WORD.findall(text)]
             self.names.append(name)
@@ -60,47 +63,62 @@ class Index:
             raise ValueError(f"templates have over {MOST_TEMPLATE_WORDS} words; scan them in several runs")
         self.base = len(self.vocabulary) + 1
         for number, words in enumerate(self.words):
+            run = shortest_run(len(words), least)
+            if run < GRAM:
+                self.by_pairs.add(number)
+                for at in range(len(words) - 1):
+                    pairs[int(words[at] * self.base + words[at + 1])].append((number, at))
+                continue
             grams = self.grams(words)
             marks = [zlib.crc32(int(g).to_bytes(16, "little")) for g in grams]
-            for at in range(max(1, len(grams) - WINNOW + 1)) if len(grams) else ():
-                window = range(at, min(at + WINNOW, len(grams)))
+            winnow = WINNOW if run >= GRAM + WINNOW - 1 else 1
+            for at in range(max(1, len(grams) - winnow + 1)) if len(grams) else ():
+                window = range(at, min(at + winnow, len(grams)))
                 chosen = min(window, key=lambda i: (marks[i], -i))
                 if (number, chosen) not in places[int(grams[chosen])]:
                     places[int(grams[chosen])].append((number, chosen))
-        self.keys = np.array(sorted(places), np.int64)
-        self.places = [places[int(k)] for k in self.keys]
+        self.tables = [(np.array(sorted(x), np.int64), [x[k] for k in sorted(x)]) for x in (places, pairs)]
 
     def grams(self, words: np.ndarray) -> np.ndarray:
         return (words[:-2] * self.base + words[1:-1]) * self.base + words[2:] if len(words) >= GRAM else np.zeros(0, np.int64)
 
     def hits(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(template, place in it, place in the text)."""
-        grams = self.grams(words)
-        if not len(grams) or not len(self.keys):
-            return []
-        known = np.flatnonzero((words[:-2] > 0) & (words[1:-1] > 0) & (words[2:] > 0))
-        at = np.minimum(np.searchsorted(self.keys, grams[known]), len(self.keys) - 1)
-        same = self.keys[at] == grams[known]
-        return [(t, p, int(q)) for q, a in zip(known[same], at[same]) for t, p in self.places[a]]
+        out = []
+        for size, (keys, places) in zip((GRAM, GRAM - 1), self.tables):
+            if len(words) < size or not len(keys):
+                continue
+            known = np.flatnonzero(np.logical_and.reduce([words[i : len(words) - size + 1 + i] > 0 for i in range(size)]))
+            grams = self.grams(words) if size == GRAM else words[:-1] * self.base + words[1:]
+            at = np.minimum(np.searchsorted(keys, grams[known]), len(keys) - 1)
+            same = keys[at] == grams[known]
+            out += [(t, p, int(q)) for q, a in zip(known[same], at[same]) for t, p in places[a]]
+        return out
+
+
+def shortest_run(n: int, least: float) -> int:
+    """Words in a row that ``least`` of ``n`` words matched must at least leave, if the others are replaced."""
+    matched = ceil(least * n - 1e-9)
+    return -(-matched // (n - matched + 1))
 
 
 def candidates(hits: list[tuple[int, int, int]], index: Index) -> list[tuple[int, int, int]]:
     """(template, lowest and highest diagonal) of each chain of hits: a hit joins the nearest open chain of its template
-    that lies within the band and has come less far in the template; else it opens one. A chain closes a template's
+    whose diagonal one band can hold together with its own and that has come less far in the template; else it opens one. A chain closes a template's
     length after its last hit, so a text that repeats a license has a chain for each time."""
     chains, open_ = [], defaultdict(list)
     for q, p, t in sorted((q, p, t) for t, p, q in hits):
         diagonal = q - p
         open_[t] = [c for c in open_[t] if q - c[4] <= len(index.words[t]) + BAND]
-        near = [c for c in open_[t] if c[3] < p and abs(c[5] - diagonal) <= BAND]
+        near = [c for c in open_[t] if c[3] < p and abs(c[5] - diagonal) <= 2 * BAND]
         if near:
             chain = min(near, key=lambda c: abs(c[5] - diagonal))
-            chain[1:] = [min(chain[1], diagonal), max(chain[2], diagonal), p, q, diagonal]
+            chain[1:] = [min(chain[1], diagonal), max(chain[2], diagonal), p, q, diagonal, chain[6] + 1]
         else:
-            chain = [t, diagonal, diagonal, p, q, diagonal]
+            chain = [t, diagonal, diagonal, p, q, diagonal, 1]
             open_[t].append(chain)
             chains.append(chain)
-    return [(t, low, high) for t, low, high, *_ in chains]
+    return [(t, low, high) for t, low, high, _, _, _, hits_ in chains if hits_ > 1 or t not in index.by_pairs]
 
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[float, int, int, int]:
@@ -144,19 +162,26 @@ def scan_text(text: str, index: Index, least: float = LEAST_COVERAGE) -> list[di
         return []
     queue: list[tuple] = []
 
-    def measure(t: int, low: int, high: int) -> None:
-        score, matched, begin, end = align(index.words[t], words, low, high)
+    def measure(t: int, low: int, high: int, first: int, last: int) -> None:
+        """Aligns within words[first:last]."""
+        score, matched, begin, end = align(index.words[t], words[first:last], low - first, high - first)
         coverage = matched / len(index.words[t])
         if coverage >= least:
-            heapq.heappush(queue, (-score, t, begin, low, high, end, matched, coverage))
+            heapq.heappush(queue, (-score, t, first + begin, low, high, first + end, matched, coverage, first, last))
 
-    for chain in candidates(hits, index):
-        measure(*chain)
+    for t, low, high in candidates(hits, index):
+        measure(t, low, high, max(0, low - BAND), min(len(words), high + BAND + len(index.words[t])))
     kept: list[dict] = []
     while queue:
-        score, t, begin, low, high, end, matched, coverage = heapq.heappop(queue)
-        if (words[begin:end] < 0).any():  # a better one has taken words of it: measure what is left
-            measure(t, low, high)
+        score, t, begin, low, high, end, matched, coverage, first, last = heapq.heappop(queue)
+        taken = np.flatnonzero(words[first:last] < 0) + first
+        if (words[begin:end] < 0).any():
+            # A better one has taken words of it: what lies between taken words is measured by itself. These parts hold
+            # no taken word, so each measure is of a shorter part and the queue comes to an end.
+            need = least * len(index.words[t])
+            for a, b in zip([first, *(taken + 1)], [*taken, last]):
+                if b - a >= need:
+                    measure(t, low, high, a, b)
             continue
         kept.append({"template": t, "license": index.names[t], "matched_words": matched, "coverage": coverage, "begin": begin, "end": end})
         words[begin:end] = -1
@@ -174,10 +199,11 @@ def license_scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLAT
     words), matched_words, start_char and end_char of the span.
 
     Words are compared in lower case, without punctuation. Texts are scanned whole, however long; null and empty
-    ones have no row. A text may hold several licenses, or one several times. Repeated rows are each scanned. A
-    template of fewer than three words is never found. Other columns are not read.
+    ones have no row, and an empty table gives none. A text may hold several licenses, or one several times; spans do
+    not overlap: the higher score takes its words, of equal ones the template that comes first, then the place that does.
+    Repeated rows are each scanned. A template of one word is never found. Other columns are not read.
     """
-    index = Index(templates)
+    index = Index(templates, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("template", pa.int32()), ("coverage", pa.float64()), ("matched_words", pa.int32()), ("start_char", pa.int64()), ("end_char", pa.int64())])
