@@ -24,12 +24,12 @@ WHOLE_GROUP = 1 / 8
 OVERHEAD = 8
 
 
-def _metadata(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None) -> DataFrame:
-    """One narrow row per document: size, digests and the raw dimensions, all functions of text and language."""
+def _metadata(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One narrow row per document: size, digests and the raw dimensions, all functions of the text."""
     text = whole(F.col(text_col))
     size, chars = F.octet_length(text), F.char_length(text)
     lines = chars - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))
-    lang = F.pmod(F.xxhash64(F.col(lang_col)), F.lit(1 << LEVEL_BITS)).cast("double") if lang_col else F.lit(0.0)
+    spaces = chars - F.char_length(F.replace(text, F.lit(" "), F.lit("")))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (size + OVERHEAD).cast("long").alias("size"),
@@ -38,7 +38,7 @@ def _metadata(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None)
         F.log2(size + F.lit(1)).cast("double").alias("raw0"),
         (size / (chars + F.lit(1))).cast("double").alias("raw1"),
         F.log2(lines + F.lit(1)).cast("double").alias("raw2"),
-        lang.alias("raw3"),
+        F.log2((chars + F.lit(1)) / (spaces + F.lit(1))).cast("double").alias("raw3"),
     )
 
 
@@ -136,19 +136,19 @@ def with_slots(rows: DataFrame, bucket_rows: int = 100_000) -> DataFrame:
 
 def kd_shards(
     docs: DataFrame, shards: int | None = None, target_bytes: int | None = None,
-    id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every document.
 
     Give ``shards``, or ``target_bytes`` for as many leaves as bring them to that size. Size is the text's UTF-8
     bytes plus 8. Null and empty texts weigh 8 and count as equal texts. Repeated rows and repeated ids are placed
-    one by one. Equal texts of one language stay in one shard up to an eighth of its bytes; more are dealt out in
+    one by one. Equal texts, whatever their language, stay in one shard up to an eighth of its bytes; more are dealt out in
     chunks. An empty table gives an empty result; where there are fewer texts than shards, some shards stay empty.
     Other columns are neither read nor returned.
     """
     if (shards is None) == (target_bytes is None):
         raise ValueError("give shards or target_bytes")
-    meta = materialize(_metadata(docs, id_col, text_col, lang_col))
+    meta = materialize(_metadata(docs, id_col, text_col))
     total = meta.agg(F.sum("size")).first()[0] or 0
     shards = shards or max(1, ceil(total / target_bytes))
     rows = materialize(_coordinates(meta, max(1.0, total / shards)))
