@@ -28,7 +28,8 @@ from eventloom.llm.common import table
 from eventloom.session import materialize
 
 WINDOW, SEGMENT, MIN_PIECE, END_ID = 4096, 1 << 18, 128, 2
-CACHE = 400_000  # words a task remembers
+CACHE_BYTES = 80 << 20  # of words that a task remembers
+ENTRY = 130  # bytes that a dictionary entry takes beside its ids
 GROUP = 4000  # new words encoded at once
 # How the tokenizer splits text into words after lower-casing (fixed value, its published pattern, for the characters
 # of PLAIN: letters, endings, single digits, marks).
@@ -39,56 +40,92 @@ WORD_END = "</w>"
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, end_id: int):
-    """A function from texts to token ids (uint32, little-endian bytes), ``end_id`` last.
-
-    The tokenizer encodes word by word, so each distinct word is encoded once and looked up afterwards. New words are
-    encoded side by side in one text, and its ids are told apart by the tokens that end a word. Texts with characters
-    beyond Latin letters, and tokenizers that do not end each word so, take the tokenizer's own way. A worker keeps
-    its encoder, with at most CACHE words, from task to task."""
+def _tokenizer(path: str):
+    """The tokenizer, with its defaults; a worker keeps it from task to task, but no words."""
     from tokenizers import Tokenizer
 
-    model, known = Tokenizer.from_file(path), {}
-    model.encode_special_tokens = True
+    model = Tokenizer.from_file(path)
     vocabulary = model.get_vocab()
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-    last = np.array([end_id], "<u4").tobytes()
+    return model, ends
+
+
+class _Known(dict):
+    """What a task has encoded, up to a number of bytes."""
+
+    size = 0
+
+    def learn(self, found: dict[str, bytes]) -> None:
+        self.update(found)
+        self.size += sum(map(len, found.values())) + ENTRY * len(found)
+
+    def make_room(self) -> None:
+        """Forgets everything where it is full."""
+        if self.size > CACHE_BYTES:
+            self.clear()
+            self.size = 0
+
+
+def encoder(path: str, end_id: int):
+    """A function from texts to token ids (little-endian bytes, as wide as :func:`id_type` says), ``end_id`` last.
+
+    The tokenizer encodes word by word and white space parts words, so each distinct run without white space is
+    put together once, from words that are encoded once. New words are encoded side by side in one text, and its ids
+    are told apart by the tokens that end a word. Texts with characters beyond Latin letters, texts that hold one of the
+    tokenizer's added tokens, and tokenizers that do not end each word so, take the tokenizer's own way."""
+    (model, ends), known = _tokenizer(path), _Known()
+    kind = id_type(path, end_id)
+    last = np.array([end_id], kind).tobytes()
     by_word = bool(ends.any())
+    width = np.dtype(kind).itemsize
+    added = [t.content for t in model.get_added_tokens_decoder().values()]
 
-    def learn(words: list[str]) -> None:
-        for at in range(0, len(words), GROUP):
-            group = words[at : at + GROUP]
-            ids = np.array(model.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
-            stops = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+    def plain(text: str) -> bool:
+        return by_word and not PLAIN.search(text) and not any(t in text for t in added)
+
+    def learn(new: list[str]) -> None:
+        for at in range(0, len(new), GROUP):
+            group = new[at : at + GROUP]
+            ids = np.array(model.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, np.int64)
+            stops = ((np.flatnonzero(ends[ids]) + 1) * width).tolist()
             if len(stops) == len(group):
-                data = ids.tobytes()
+                data = ids.astype(kind).tobytes()
                 parts = [data[a:b] for a, b in zip([0, *stops], stops)]
             else:
-                parts = [np.array(x.ids, "<u4").tobytes() for x in model.encode_batch(group, add_special_tokens=False)]
-            known.update(zip(group, parts))
+                parts = [np.array(x.ids, kind).tobytes() for x in model.encode_batch(group, add_special_tokens=False)]
+            known.learn(dict(zip(group, parts)))
 
     def encode(texts: list[str]) -> list[bytes]:
-        plain = {i: SPLIT.findall(t.lower()) for i, t in enumerate(texts) if by_word and not PLAIN.search(t)}
-        met = set().union(*plain.values()) if plain else set()
+        split = {i: t.lower().split() for i, t in enumerate(texts) if plain(t)}
+        met = set().union(*split.values()) if split else set()
+        known.make_room()
         new = met - known.keys()
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = met
-        learn(list(new))
-        others = [i for i in range(len(texts)) if i not in plain]
-        own = dict(zip(others, model.encode_batch([texts[i] for i in others], add_special_tokens=False))) if others else {}
+        mixed = {c: SPLIT.findall(c) for c in new if not c.isalpha()}
+        learn(list(new.difference(mixed).union(*mixed.values()) - known.keys()))
         get = known.__getitem__
-        return [(b"".join(map(get, plain[i])) if i in plain else np.array(own[i].ids, "<u4").tobytes()) + last for i in range(len(texts))]
+        known.learn({c: b"".join(map(get, p)) for c, p in mixed.items()})
+        others = [i for i in range(len(texts)) if i not in split]
+        own = dict(zip(others, model.encode_batch([texts[i] for i in others], add_special_tokens=False))) if others else {}
+        return [(b"".join(map(get, split[i])) if i in split else np.array(own[i].ids, kind).tobytes()) + last for i in range(len(texts))]
 
     return encode
 
 
+@lru_cache(maxsize=8)
+def id_type(path: str, end_id: int) -> str:
+    """Two bytes for an id while they hold the whole vocabulary."""
+    model, ends = _tokenizer(path)
+    most = max([end_id, len(ends), *model.get_added_tokens_decoder()])
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str | None = "source") -> DataFrame:
     """doc_id, source, tokens, part (the task), place (tokens of the source before it in the task), ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, before, part = encoder(path, end_id), {}, TaskContext.get().partitionId()
+        width = np.dtype(id_type(path, end_id)).itemsize
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -96,8 +133,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
                 sources, places = batch.column(2).to_pylist(), []
                 for source, x in zip(sources, ids):
                     places.append(before.get(source, 0))
-                    before[source] = places[-1] + len(x) // 4
-                sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
+                    before[source] = places[-1] + len(x) // width
+                sizes = pa.array([len(x) // width for x in ids], pa.int64())
                 columns = [batch.column(0), batch.column(2), sizes, pa.array([part] * len(ids), pa.int32()), pa.array(places, pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "tokens", "part", "place", "ids"])
 
@@ -115,8 +152,9 @@ def _served(k: str) -> Column:
     return F.least(F.col("queue"), _exact(f"CAST(reach AS DECIMAL(19, 0)) * CAST({k} AS DECIMAL(18, 0)) div segments"))
 
 
-def _deal(window: int, min_piece: int):
+def _deal(window: int, min_piece: int, kind: str):
     """Runs the rounds of one segment."""
+    width = np.dtype(kind).itemsize
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["source", "first"], kind="stable")
@@ -141,7 +179,7 @@ def _deal(window: int, min_piece: int):
                 while earned:
                     doc_id, start, size, tokens, ids, source = q["docs"][q["at"]]
                     take = min(earned, size - q["taken"], window - position % window)
-                    out.append((doc_id, start + q["taken"], take, tokens, position // window, position % window, ids[4 * q["taken"] : 4 * (q["taken"] + take)], source))
+                    out.append((doc_id, start + q["taken"], take, tokens, position // window, position % window, np.frombuffer(ids, kind, take, width * q["taken"]).astype("<u4").tobytes(), source))
                     position, earned, q["taken"] = position + take, earned - take, q["taken"] + take
                     if q["taken"] == size:
                         q["at"], q["taken"] = q["at"] + 1, 0
@@ -167,6 +205,8 @@ def pack(
     documents. A null source is the source "". Null and empty texts have the closing id only. Repeated rows and ids
     are packed one by one. An empty table gives an empty result. Other columns are not read.
     """
+    kind = id_type(path, end_id)
+    width = np.dtype(kind).itemsize
     tokens = materialize(tokenized(docs, path, end_id, id_col, text_col, source_col))
     counts = materialize(tokens.groupBy("source", "part").agg(F.sum("tokens").alias("tokens")))
     weight = F.sum("tokens") if weights is None else F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in weights.items() for x in p]), F.col("source")), F.lit(1)).cast("long")
@@ -194,9 +234,9 @@ def pack(
     bases = materialize(bases.groupBy("segment").agg(F.sum(_served("segment")).alias("base")))
     parts = parts.select(
         "doc_id", "source", "tokens", "weight", "reach", "segments", "segment", "first", "size", "start",
-        F.expr("substring(ids, CAST(4 * start + 1 AS INT), CAST(4 * size AS INT))").alias("ids"),
+        F.expr(f"substring(ids, CAST({width} * start + 1 AS INT), CAST({width} * size AS INT))").alias("ids"),
     )
-    return parts.join(bases, "segment").groupBy("segment").applyInPandas(_deal(window, min_piece), PIECES)
+    return parts.join(bases, "segment").groupBy("segment").applyInPandas(_deal(window, min_piece, kind), PIECES)
 
 
 def tokenizer_path() -> str:
