@@ -33,7 +33,7 @@ LEAST_TEXTS, LARGEST_ODDS, SMALL = 4, 4.0, 0.02
 OWN_THRESHOLD = 30
 WORD = re.compile(r"\w+")
 PAD = max(WIDTHS) - 1
-CACHE = 500_000
+CACHE = 150_000  # words whose rows a task remembers
 
 
 class _Ids(dict):
