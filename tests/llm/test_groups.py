@@ -202,6 +202,13 @@ def brute_near(rows):
     return [least[root(i)] for i in range(len(rows))], pairs
 
 
+def test_equal_texts_of_several_languages_share_a_shard(spark):
+    texts = spark.range(400).crossJoin(spark.range(10).withColumnRenamed("id", "copy")).select(
+        (F.col("id") * 10 + F.col("copy")).alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text"), F.when(F.col("copy") % 2 == 0, "en").otherwise("fr").alias("lang"))
+    rows = kd_shards.kd_shards(texts, 8).join(texts, "doc_id").groupBy("text").agg(F.count_distinct("shard").alias("n"))
+    assert rows.filter("n > 1").count() == 0
+
+
 def near_texts():
     """Copies with a word changed, cut or added, of similarity around 0.8; a chain; a group that shares one passage."""
     rng = np.random.default_rng(5)

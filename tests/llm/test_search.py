@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventloom.llm import bitsliced_topk, simhash_trie, toxicity_cnn
+from eventloom.llm import bitsliced_topk, toxicity_cnn
+from test_groups import brute_near
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,7 +63,8 @@ def test_pipeline_stages(spark):
                 best[r.text] = max(best[r.text], r.doc_id)
             assert {r.doc_id for r in kept[name]} == set(best.values())
         elif name == "simhash_near_dedup":
-            assert {r.doc_id for r in kept[name]} == {r.doc_id for r in simhash_trie.near_dedup(before).collect() if r.doc_id == r.component_id}
+            rows = [(r.doc_id, r.text) for r in before.collect()]
+            assert {r.doc_id for r in kept[name]} == {i for (i, _), first in zip(rows, brute_near(rows)[0]) if i == first}
         else:
             assert {r.doc_id for r in kept[name]} == {r.doc_id for r in before.collect()}
         if name != "packing":
@@ -72,6 +74,10 @@ def test_pipeline_stages(spark):
 
 def test_pipeline_of_awkward_rows(spark, awkward, nothing):
     for docs in (awkward, nothing):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, SF)
-        assert docs.count() >= 0
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, stage(spark, docs, SF)
+            ids, were = [r.doc_id for r in docs.select("doc_id").collect()], {r.doc_id for r in before.select("doc_id").collect()}
+            assert set(ids) <= were and (name == "packing" or docs.columns == before.columns)
+        assert set(ids) == were  # each document that got so far is packed
+        assert bool(ids) == (were != set())
+    assert not ids

@@ -31,6 +31,39 @@ def test_license_spans_and_coverage(spark, awkward, nothing):
     assert [(r.doc_id, r.license, r.coverage) for r in license_scan.license_scan(awkward).collect()] == [(15, "MIT", 0.8)]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_licenses_that_nest_interleave_and_repeat(seed):
+    """No overlaps, and the best notice of a plain version, which aligns every template in a band around each diagonal."""
+    rng = np.random.default_rng(seed)
+    index = license_scan.Index(license_scan.TEMPLATES)
+    lines = [t for _, t in license_scan.TEMPLATES]
+    for _ in range(8):
+        words = []
+        for i in rng.choice(len(lines), 3):
+            line = license_scan.WORD.findall(lines[i])
+            at = int(rng.integers(0, len(words) + 1)) if rng.random() < 0.5 else len(words)
+            if rng.random() < 0.3 and len(line) > 6:
+                line[len(line) // 2] = "changed"
+            words[at:at] = [*line, *(["between"] if rng.random() < 0.5 else [])]
+        text = " ".join(words)
+        found = license_scan.scan_text(text, index)
+        ends = [(r["begin"], r["end"]) for r in found]
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:])) and all(r["coverage"] >= 0.8 for r in found)
+        ids = np.array([index.vocabulary.get(w.lower(), 0) for w in words])
+        tried = [(license_scan.align(t, ids, d, d), len(t)) for t in index.words for d in range(-len(t), len(ids), 5)]
+        first = max(score for (score, matched, _, _), n in tried if matched >= 0.8 * n)
+        best = max((license_scan.align(index.words[r["template"]], ids[r["begin"] : r["end"]], -9, 99)[0] for r in found), default=0)
+        assert best >= first - 1e-9  # the best notice of the whole text is found
+
+
+def test_licenses_end_on_interleaved_notices():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    scan = lambda t: [r["license"] for r in license_scan.scan_text(t, index)]
+    assert scan("Licensed under the Apache Licensed under CC BY-NC 4.0 License, Version 2.0.") == ["CC-BY-NC-4.0"]
+    assert scan("Released under an MIT License") == ["MIT"]  # four of five words
+    assert scan("Licensed under CC BY-XX 4.0.") == ["CC-BY-NC-4.0"]  # six of seven
+
+
 def test_license_alignment_against_full_dynamic_programming():
     rng = np.random.default_rng(5)
     for _ in range(60):
@@ -112,7 +145,6 @@ def token_ids(texts):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(packing.tokenizer_path())
-    model.encode_special_tokens = True
     return [np.array(model.encode(t or "", add_special_tokens=False).ids + [2], "<u4") for t in texts]
 
 
@@ -163,8 +195,11 @@ def test_packing_awkward(spark, awkward, nothing):
 def test_encoder_equals_the_tokenizer():
     texts = ["It's 12½ naïve—no! ÆØÅ İstanbul ΣΑΣ", "a\x1cb\x85c\u00a0d", "<|endoftext|> ok <|startoftext|>", "", " \n", "''s 't''ll'", "e\u0301 combining", "日本語 mixed with latin", "x_y__z ²³ ª"]
     encode = packing.encoder(packing.tokenizer_path(), 2)
-    assert encode(texts) == [x.tobytes() for x in token_ids(texts)]
-    assert encode(texts[:3] + ["It's it's IT'S"]) == [x.tobytes() for x in token_ids(texts[:3] + ["It's it's IT'S"])]
+    ids = lambda found: [np.frombuffer(x, packing.id_type(packing.tokenizer_path(), 2)).tolist() for x in found]
+    texts += ["a <|endoftext|> b", "A <|ENDOFTEXT|> b", "x<|startoftext|>y z"]
+    assert ids(encode(texts)) == [x.tolist() for x in token_ids(texts)]
+    assert 49407 in token_ids(texts)[-3] and ids(encode(["a b <|endoftext|>"]))[0][-2:] == [49407, 2]
+    assert ids(encode(texts[:3] + ["It's it's IT'S"])) == [x.tolist() for x in token_ids(texts[:3] + ["It's it's IT'S"])]
 
 
 @pytest.fixture(scope="module")
