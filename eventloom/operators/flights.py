@@ -61,7 +61,8 @@ def seat_conservation(flights: DataFrame, reservations: DataFrame) -> DataFrame:
 
 
 class SeatRules(Rules):
-    """State per key: free seats of a flight, or status, flight and seats of a booking's reservation."""
+    """State per key: free seats of a flight with the bookings that live there, or status, flight and seats of the
+    reservation of a booking that was asked for on several flights."""
 
     def __init__(self, releases: DataFrame):
         self._releases = releases
@@ -69,7 +70,28 @@ class SeatRules(Rules):
     def __getstate__(self):
         return {}
 
+    def load(self, state):
+        for booking, entry in (state.pop("held", None) or {}).items():
+            state[f"b:{booking}"] = entry
+        return state
+
     def touch(self, base, work, key, op, ts, qty, text):
+        if op == "BOOK":
+            free = base.get("free", 0)
+            if free < qty:
+                return 10, "RESOURCE_EXHAUSTED", None
+            if f"b:{text}" in base:
+                return 20, "ALREADY_EXISTS", None
+            work.update({"free": free - qty, f"b:{text}": {"status": "ACTIVE", "seats": qty}})
+            return 20, OK, None
+        if op == "UNBOOK":
+            entry = base.get(f"b:{text}")
+            if entry is None:
+                return 0, "NOT_FOUND", None
+            if entry["status"] != "ACTIVE":
+                return 0, "FAILED_PRECONDITION", None
+            work.update({"free": base.get("free", 0) + entry["seats"], f"b:{text}": {**entry, "status": "RELEASED"}})
+            return 0, OK, None
         if op == "TAKE":
             free = base.get("free", 0)
             if free < qty:
@@ -136,31 +158,44 @@ def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFram
         .when(reserve & (F.col("_status") != SCHEDULED), "FAILED_PRECONDITION")
     )
     judged = requests.join(known.drop("available_seats"), F.col("flight_id") == F.col("_f"), "left").withColumn("static", static)
-    again = requests.groupBy("booking_id").count().filter("count > 1").select("booking_id")
-    if reservations is not None:
-        stored = reservations.join(requests.select("booking_id").distinct(), "booking_id", "left_semi")
-        again = again.union(stored.select("booking_id")).distinct()
-    judged = judged.join(again.withColumn("again", F.lit(True)), "booking_id", "left")
-    judged = materialize(judged.withColumn("again", F.coalesce("again", F.lit(False))))
+    judged = materialize(judged)
+    valid = judged.filter("static IS NULL")
+    places = _places(valid, requests, flights, reservations, max_group_rows)
+    judged = judged.join(places, "booking_id", "left")
+    unknown = (F.col("kind") == "RELEASE") & F.col("nowhere")
+    judged = materialize(judged.withColumns({
+        "static": F.coalesce("static", F.when(unknown, "NOT_FOUND")), "again": F.col("again").isNotNull() & F.col("again"),
+    }))
 
     valid = judged.filter("static IS NULL")
     takes, gives = valid.filter("kind = 'RESERVE'"), valid.filter("kind = 'RELEASE'")
+    here, apart = F.col("host").isNotNull(), F.col("again") & F.col("host").isNull()
     touches = reduce(
         DataFrame.unionByName,
         [
-            _touch(takes, "F:", F.col("flight_id"), "TAKE", F.col("seat_count"), shared=F.col("again")),
-            _touch(takes.filter("again"), "B:", F.col("booking_id"), "OPEN", F.col("seat_count"), F.col("flight_id")),
-            _touch(gives, "B:", F.col("booking_id"), "CLOSE"),
+            _touch(takes.filter(~here), "F:", F.col("flight_id"), "TAKE", F.col("seat_count"), shared=F.col("again")),
+            _touch(takes.filter(here), "F:", F.col("host"), "BOOK", F.col("seat_count"), F.col("booking_id"), F.lit(False)),
+            _touch(gives.filter(here), "F:", F.col("host"), "UNBOOK", text=F.col("booking_id"), shared=F.lit(False)),
+            _touch(takes.filter(apart), "B:", F.col("booking_id"), "OPEN", F.col("seat_count"), F.col("flight_id")),
+            _touch(gives.filter(~here), "B:", F.col("booking_id"), "CLOSE"),
         ],
     )
     seats = flights.join(requests.select("flight_id").distinct(), "flight_id", "left_semi")
     if reservations is not None:
+        stored = reservations.join(requests.select("booking_id").distinct(), "booking_id", "left_semi")
         seats = seats.union(flights.join(stored.select("flight_id").distinct(), "flight_id", "left_semi")).distinct()
-    seeds = seats.select(F.concat(F.lit("F:"), "flight_id").alias("key"), F.to_json(F.struct(F.col("available_seats").alias("free"))).alias("state"))
-    if reservations is not None:
+    # A flight's seed lists those of its stored reservations that are asked about; only flights of bounded size host any.
+    seeds = seats.select(F.concat(F.lit("F:"), "flight_id").alias("key"), F.col("available_seats").alias("free"))
+    if reservations is None:
+        seeds = seeds.select("key", F.to_json(F.struct("free")).alias("state"))
+    else:
+        placed = stored.join(places.select("booking_id", "host"), "booking_id")
+        entry = F.struct("booking_id", F.struct("status", F.col("seat_count").alias("seats")))
+        held = placed.filter("host IS NOT NULL").groupBy(F.concat(F.lit("F:"), "host").alias("key")).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
+        seeds = seeds.join(held, "key", "left").select("key", F.to_json(F.struct("free", "held")).alias("state"))
         state = F.to_json(F.struct("status", F.col("flight_id").alias("flight"), F.col("seat_count").alias("seats")))
-        seeds = seeds.unionByName(stored.select(F.concat(F.lit("B:"), "booking_id").alias("key"), state.alias("state")))
-    result = fold(touches, SeatRules(gives.select("seq")), seeds, max_group_rows)
+        seeds = seeds.unionByName(placed.filter("host IS NULL").select(F.concat(F.lit("B:"), "booking_id").alias("key"), state.alias("state")))
+    result = fold(touches, SeatRules(gives.filter(~here).select("seq")), seeds, max_group_rows)
 
     decided = judged.join(result.verdicts.select("seq", F.col("code").alias("found")), "seq", "left")
     code = F.coalesce("static", F.when(F.col("found") == OK, "OK").otherwise(F.col("found")))
@@ -175,9 +210,40 @@ def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFram
     parsed = F.from_json("state", "status STRING, flight STRING, seats INT").alias("s")
     held = result.states.filter("key LIKE 'B:%'").select(F.expr("substring(key, 3)").alias("booking_id"), parsed)
     held = held.filter("s.status IS NOT NULL").select("booking_id", F.col("s.flight").alias("flight_id"), F.col("s.seats").alias("seat_count"), "s.status")
+    entries = F.explode(F.from_json("state", "MAP<STRING, STRING>")).alias("name", "text")
+    inside = result.states.filter("key LIKE 'F:%'").select(F.expr("substring(key, 3)").alias("flight_id"), entries).filter("name LIKE 'b:%'")
+    inside = inside.select(F.expr("substring(name, 3)").alias("booking_id"), "flight_id", F.from_json("text", "status STRING, seats INT").alias("s"))
+    held = held.unionByName(inside.select("booking_id", "flight_id", F.col("s.seats").alias("seat_count"), "s.status"))
     return SeatResult(decisions, free, held, result.rounds)
 
 
+def _places(valid, requests, flights, reservations, max_group_rows):
+    """booking_id, again, host, nowhere: for ids that can meet themselves again (repeated, stored or released).
+
+    An id that is asked for on one flight only lives in that flight's state (``host``), so its requests look at nothing
+    else; flights that are cut into segments host none. An id that is neither asked for nor stored is ``nowhere``."""
+    named = valid.filter("kind = 'RESERVE'").select("booking_id", "flight_id")
+    if reservations is not None:
+        stored = reservations.join(requests.select("booking_id").distinct(), "booking_id", "left_semi")
+        named = named.unionByName(stored.select("booking_id", "flight_id"))
+    ids = named.groupBy("booking_id").agg(F.min("flight_id").alias("host"), F.max("flight_id").alias("other"))
+    asked = requests.groupBy("booking_id").count()
+    if reservations is not None:
+        asked = asked.join(stored.select("booking_id", F.lit(True).alias("kept")).distinct(), "booking_id", "left")
+    else:
+        asked = asked.withColumn("kept", F.lit(None).cast("boolean"))
+    rows = asked.join(ids, "booking_id", "left").withColumn("again", (F.col("count") > 1) | F.coalesce("kept", F.lit(False)))
+    rows = rows.withColumn("host", F.when(F.col("again") & (F.col("host") == F.col("other")), F.col("host")))
+    # A request is one touch of its flight, or of its booking's host.
+    sizes = named.groupBy("flight_id").count().unionByName(
+        valid.filter("kind = 'RELEASE'").select("booking_id").join(rows.select("booking_id", F.col("host").alias("flight_id")), "booking_id").groupBy("flight_id").count()
+    )
+    large = sizes.groupBy("flight_id").agg(F.sum("count").alias("n")).filter(F.col("n") > max_group_rows)
+    fit = flights.select(F.col("flight_id").alias("host")).join(large.select(F.col("flight_id").alias("host")), "host", "left_anti").withColumn("fits", F.lit(True))
+    rows = rows.join(fit, "host", "left")
+    return rows.select("booking_id", "again", F.when(F.col("fits"), F.col("host")).alias("host"), F.col("other").isNull().alias("nowhere"))
+
+
 def create_and_cancel(decisions: DataFrame) -> DataFrame:
     """Booking rows after the decided requests: confirmed by a reservation, cancelled by its release."""
     done = decisions.filter("code = 'OK'")

@@ -14,8 +14,14 @@ Each finding depends only on earlier events, so the only self-consistent assignm
 result, and each round settles at least the earliest unsettled event: the loop ends, exactly.
 
 A key with more than ``max_group_rows`` touches is cut into segments by arrival quantiles. A segment is
-folded by its own task from the state the segment before it ended with in the previous round; those end
-states take part in step 3. A task streams its rows and holds one key's state, never a group of rows.
+folded by its own task from an assumed state and returns what its verdicts need of that state (``spans.py``):
+how far a number may move without changing one, which texts must be the same. One scan over a key's segments
+then carries the state from the first to the last; segments whose needs are met keep their verdicts, only the
+others are folded again, from the state that the scan has brought. A task streams its rows and holds one key's
+state, never a group of rows; the scan holds one summary per segment of a key.
+
+What a round finds is appended. A key folded again leaves its earlier findings behind, which are passed over
+when findings are read; only its events get a new verdict.
 """
 
 from __future__ import annotations
@@ -26,19 +32,22 @@ from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators.spans import Tracked, applied, met
 from eventloom.session import materialize
 
 MAX_GROUP_ROWS = 1_000_000
+MOST_TABLES = 6  # of findings before they are put together
 OK = ""
 
 TOUCH = "key STRING, seq BIGINT, idx BIGINT, shared BOOLEAN, op STRING, ts BIGINT, qty BIGINT, text STRING"
 _RECORD = (
     "rec STRING, key STRING, segment INT, seq BIGINT, applied INT, used_info STRING, "
-    "rank BIGINT, code STRING, info STRING, state STRING"
+    "rank BIGINT, code STRING, info STRING, state STRING, summary STRING"
 )
 _ARROW = pa.schema(
     [
@@ -52,6 +61,7 @@ _ARROW = pa.schema(
         ("code", pa.string()),
         ("info", pa.string()),
         ("state", pa.string()),
+        ("summary", pa.string()),
     ]
 )
 _SEED = "_seed"
@@ -116,7 +126,8 @@ def fold(
         slots = located.select("key", F.explode(F.sequence(F.lit(1), F.size("cuts"))).alias("segment"))
         carry = materialize(_as_seed(seeds.join(slots, "key")))
 
-    verdicts = out = extra = active = None
+    found: list[tuple[DataFrame, DataFrame | None]] = []  # what each round found, and the keys it looked at
+    verdicts = extra = active = ends = None
     rounds = 0
     while True:
         rounds += 1
@@ -125,60 +136,75 @@ def fold(
         if active is not None:
             rows = rows.join(active, ["key", "segment"], "left_semi")
         if verdicts is None:
-            rows = rows.withColumn("used_info", F.lit(None).cast("string"))
+            # Nothing is known of the other keys yet; where no event is shared there is nothing to know.
+            if given_up is not None:
+                rows = rows.join(given_up, "seq", "left")
+            rows = rows.withColumns({"others": initial, "used_info": F.lit(None).cast("string")}).drop("given_up")
         else:
             known = verdicts.select("seq", "fails", "fail_key", F.col("info").alias("used_info"))
             bad = (F.col("fails") > 1) | ((F.col("fails") == 1) & (F.col("fail_key") != F.col("key")))
             rows = rows.join(known, "seq", "left").withColumn("others", F.when(bad, 0).otherwise(1)).drop("fails", "fail_key")
-        if active is None or verdicts is None:
-            # Nothing is known of the other keys yet, or only from a round that lacked the extra touches; where no
-            # event is shared there is nothing to know.
-            if given_up is not None:
-                rows = rows.join(given_up, "seq", "left")
-            rows = rows.withColumn("others", initial).drop("given_up")
         for more in (seed_rows, carry):
             if more is not None:
+                more = more.withColumn("tracked", F.lit(False))  # its rows say so too, and set nothing else
                 rows = rows.unionByName(more if active is None else more.join(active, ["key", "segment"], "left_semi"))
         ordered = rows.repartition(tasks, "key", "segment").sortWithinPartitions("key", "segment", "seq", "idx")
-        ordered = ordered.select("key", "segment", "seq", "shared", "op", "ts", "qty", "text", "others", "used_info")
-        found = ordered.mapInArrow(_folder(rules), _RECORD)
-        if active is not None:
-            found = out.join(active, ["key", "segment"], "left_anti").select(*out.columns).unionByName(found)
-        out = materialize(found)
+        ordered = ordered.select("key", "segment", "seq", "shared", "op", "ts", "qty", "text", "others", "used_info", "tracked")
+        fresh = materialize(ordered.mapInArrow(_folder(rules), _RECORD))
+        found.append((fresh, active))
+        if len(found) > MOST_TABLES:
+            found = [(materialize(_newest(found)), None)]
+        out = _newest(found)
 
         changed = []
         if any_shared:
-            verdicts = materialize(_verdicts(out))
+            if active is None:
+                verdicts = materialize(_verdicts(out))
+            else:  # only events of the keys that were folded again
+                again = materialize(fresh.filter("rec = 'touch'").select("seq").distinct())
+                renewed = _verdicts(out.join(again, "seq", "left_semi"))
+                verdicts = materialize(verdicts.join(again, "seq", "left_anti").unionByName(renewed))
             good = (F.col("code") == OK).cast("int")
             differs = (F.col("least") != good) | (F.col("most") != good) | ~F.col("used_info").eqNullSafe(F.col("info"))
             open_ = verdicts.filter(differs).select("seq")
             if not open_.isEmpty():
                 before, extra = extra, rules.expand(verdicts)
-                if before is None and extra is not None:
-                    # The first extra touches reach keys that have not been asked: look at all of them again.
-                    active = None
-                    if cuts is not None:
-                        carry = _next_carry(out, cuts)
-                    continue
+                extra = None if extra is None else materialize(extra)
                 reach = [t.select("key", "seq") for t in (touches, before, extra) if t is not None]
                 reach = reduce(DataFrame.unionByName, reach).join(open_, "seq", "left_semi")
                 changed.append(_segmented(reach, located).select("key", "segment"))
         if cuts is not None:
-            ends = _next_carry(out, cuts)
-            state = ["key", "segment", "text"]
-            moved = ends.select(*state) if carry is None else ends.select(*state).exceptAll(carry.select(*state))
-            carry = ends
-            if not moved.isEmpty():
-                changed.append(moved.select("key", "segment"))
+            scanned = materialize(_scanned(out, located, seeds, rules))
+            carry = _as_seed(scanned.filter("segment >= 0")).withColumn("tracked", F.lit(False))
+            if seed_rows is not None:  # the scan has brought the seeds of the keys it covers
+                seed_rows = _as_seed(seeds.join(located, "key", "left_anti").withColumn("segment", F.lit(0)))
+            ends = scanned.filter("segment < 0").select("key", "state")
+            unmet = scanned.filter("NOT met").select("key", "segment")
+            if not unmet.isEmpty():
+                changed.append(unmet)
         if not changed:
             break
         active = materialize(reduce(DataFrame.unionByName, changed).distinct())
     alone = out.filter("rec = 'event'").select("seq", "code", "info")
     together = alone if verdicts is None else alone.unionByName(verdicts.select("seq", "code", "info"))
-    last = out.filter("rec = 'state'").groupBy("key").agg(F.max_by("state", "segment").alias("state"))
+    last = out.filter("rec = 'state'").select("key", "state")
+    if ends is not None:
+        last = last.join(located, "key", "left_anti").unionByName(ends)
     return Folded(together, last, rounds)
 
 
+def _newest(found):
+    """The findings of all rounds but for those of keys that a later round has looked at."""
+    rows = later = None
+    for table, active in reversed(found):
+        part = table if later is None else table.join(later, ["key", "segment"], "left_anti")
+        rows = part if rows is None else rows.unionByName(part)
+        if active is None:
+            break
+        later = active if later is None else later.unionByName(active)
+    return rows
+
+
 def _verdicts(out):
     """One verdict per event on several keys, with what its keys did and which of them failed."""
     failed = F.col("code") != OK
@@ -225,9 +251,9 @@ def _small(df, total, max_group_rows):
 
 def _segmented(rows, cuts):
     if cuts is None:
-        return rows.withColumn("segment", F.lit(0))
+        return rows.withColumns({"segment": F.lit(0), "tracked": F.lit(False)})
     passed = F.size(F.filter(F.coalesce("cuts", F.array().cast("array<bigint>")), lambda c: c < F.col("seq")))
-    return rows.join(cuts, "key", "left").withColumn("segment", passed).drop("cuts")
+    return rows.join(cuts, "key", "left").withColumns({"segment": passed, "tracked": F.col("cuts").isNotNull()}).drop("cuts")
 
 
 def _as_seed(states):
@@ -247,20 +273,38 @@ def _as_seed(states):
     )
 
 
-def _next_carry(out, cuts):
-    """State each segment starts from: where the nearest earlier segment of its key ended."""
-    before = Window.partitionBy("key").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+_SCAN = "key STRING, segment INT, state STRING, met BOOLEAN"
+
+
+def _scanned(out, cuts, seeds, rules):
+    """For each segment of each cut key the state it starts from, as far as is known, and whether its verdicts stand
+    on it; and, as segment -1, the state the key ends with. One task takes the summaries of a key, one per segment."""
+
+    def scan(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("segment", kind="stable")
+        given = next((x for x in rows["seed"] if x is not None), None)
+        state, result = rules.load(json.loads(given)) if given is not None else {}, []
+        for segment, summary in zip(rows["segment"], rows["summary"]):
+            told = None if summary is None else json.loads(summary)
+            result.append((rows["key"].iloc[0], segment, json.dumps(state, sort_keys=True), told is None or met(told["need"], state)))
+            state = state if told is None else applied(told["end"], state)
+        result.append((rows["key"].iloc[0], -1, json.dumps(state, sort_keys=True), True))
+        return pd.DataFrame(result, columns=["key", "segment", "state", "met"])
+
     slots = cuts.select("key", F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("segment"))
-    ends = out.filter("rec = 'state'").select("key", "segment", "state")
-    filled = slots.join(ends, ["key", "segment"], "left")
-    starts = filled.select("key", "segment", F.last("state", ignorenulls=True).over(before).alias("state"))
-    return materialize(_as_seed(starts.filter("state IS NOT NULL")))
+    rows = slots.join(out.filter("rec = 'state'").select("key", "segment", "summary"), ["key", "segment"], "left")
+    if seeds is None:
+        rows = rows.withColumn("seed", F.lit(None).cast("string"))
+    else:
+        rows = rows.join(seeds.select("key", F.lit(0).alias("segment"), F.col("state").alias("seed")), ["key", "segment"], "left")
+    return rows.groupBy("key").applyInPandas(scan, _SCAN)
 
 
 def _folder(rules: Rules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = None  # (key, segment)
-        base: dict = {}
+        base: dict | Tracked = {}
+        follow = False
         work: dict = {}
         event = None  # (seq, shared, others, used_info)
         found: list = []
@@ -271,15 +315,20 @@ def _folder(rules: Rules):
             seq, shared, others, used_info = event
             rank, code, info = min((f for f in found if f[1] != OK), default=found[0], key=lambda f: f[0])
             info = next((f[2] for f in found if f[2] is not None), None) if code == OK else None
-            applied = code == OK and (others == 1 or not shared)
-            if applied:
+            done = code == OK and (others == 1 or not shared)
+            if done:
                 base.update(work)
-            out.append(("touch" if shared else "event", *current, seq, int(applied), used_info, rank, code, info, None))
+            if follow:
+                if info is not None:
+                    base.need.fix_read()
+                base.need.read.clear()
+            out.append(("touch" if shared else "event", *current, seq, int(done), used_info, rank, code, info, None, None))
             found, work = [], {}
 
         def close_key():
-            state = json.dumps(base, sort_keys=True)
-            out.append(("state", *current, None, None, None, None, None, None, state))
+            state = json.dumps(base.state() if follow else base, sort_keys=True)
+            summary = json.dumps(base.summary()) if follow else None
+            out.append(("state", *current, None, None, None, None, None, None, state, summary))
 
         def flush():
             nonlocal out
@@ -291,18 +340,20 @@ def _folder(rules: Rules):
 
         for batch in batches:
             lists = [c.to_pylist() for c in batch.columns]
-            for key, segment, seq, shared, op, ts, qty, text, others, used_info in zip(*lists):
+            for key, segment, seq, shared, op, ts, qty, text, others, used_info, tracked in zip(*lists):
                 if event is not None and (current != (key, segment) or event[0] != seq):
                     close_event()
                     event = None
                 if current != (key, segment):
                     if current is not None:
                         close_key()
-                    current, base = (key, segment), {}
+                    current, base, follow = (key, segment), {}, False
                 if op == _SEED:
                     # The carried state of a segment already contains the seed.
                     base = rules.load(json.loads(text))
                     continue
+                if tracked and not follow:
+                    base, follow = Tracked(base), True
                 if event is None:
                     event = (seq, shared, others, used_info)
                 found.append(rules.touch(base, work, key, op, ts, qty, text))

@@ -30,7 +30,8 @@ _LEDGER_RANK = 2**60
 
 
 class WarehouseRules(Rules):
-    """State per key: zones of a product, status of an order, or whether an event id was applied."""
+    """State per key: zones (``z:``) of a product and the applied ones of the repeated event ids met on it only (``e:``),
+    status of an order, or whether an event id met on several keys was applied."""
 
     def __init__(self, completions: DataFrame | None = None, lines: DataFrame | None = None):
         self._completions, self._lines = completions, lines
@@ -52,13 +53,19 @@ class WarehouseRules(Rules):
                 return -1, OK, "repeat"
             work.update(status="COMPLETED", updated=ts)
             return -1, OK, base["ref"]
-        event_id, zone, to_zone, supplier, line = json.loads(text)
-        return self._stock(base, work, op, ts, qty, event_id, zone, to_zone, supplier, 10 * int(line))
+        event_id, zone, to_zone, supplier, line, once = json.loads(text)
+        found = self._stock(base, work, op, ts, qty, event_id, zone, to_zone, supplier, 10 * int(line))
+        if once and found[1] == OK:  # the id is met on this product only, so its mark is kept here
+            if f"e:{event_id}" in base:
+                return _LEDGER_RANK, DUPLICATE, None
+            work[f"e:{event_id}"] = {}
+        return found
 
     @staticmethod
-    def _stock(base, work, op, ts, qty, event_id, zone, to_zone, supplier, rank):
+    def _stock(base, work, op, ts, qty, event_id, zone_name, to_zone, supplier, rank):
         if qty < 0:
             return rank, f"{INVALID}:negative quantity {qty}", None
+        zone, to_zone = f"z:{zone_name}", None if to_zone is None else f"z:{to_zone}"
         zones = [zone] if to_zone is None else [zone, to_zone]
         if any((base.get(z) or _EMPTY)["t"] is not None and ts <= base[z]["t"] for z in zones):
             return rank + 1, STALE, None
@@ -66,7 +73,7 @@ class WarehouseRules(Rules):
         need = {"PRODUCT_RELEASED": "r", "COMPLETE_LINE": "r", "PRODUCT_RECEIVED": None, "INVENTORY_COUNTED": None}.get(op, "a")
         if need and now[need] < qty:
             word = "available" if need == "a" else "reserved"
-            return rank + 2, f"{INVALID}:insufficient {word} in {zone}: have {now[need]}, need {qty}", None
+            return rank + 2, f"{INVALID}:insufficient {word} in {zone_name}: have {now[need]}, need {qty}", None
         if op == "PRODUCT_RECEIVED":
             now["a"] += qty
             now["s"] = supplier if supplier is not None else now["s"]
@@ -100,7 +107,8 @@ def _stock_touch(df: DataFrame) -> DataFrame:
     """Touch rows on a product from columns seq, ts, op, shared, event_id, product_id, zone_id, quantity, line."""
     have = set(df.columns)
     extra = [F.col(c) if c in have else F.lit(None).cast("string") for c in ("to_zone_id", "supplier_id")]
-    text = F.to_json(F.array("event_id", "zone_id", *extra, F.col("line").cast("string")))
+    once = F.when(F.col("hosted"), "once") if "hosted" in have else F.lit(None).cast("string")
+    text = F.to_json(F.array("event_id", "zone_id", *extra, F.col("line").cast("string"), once))
     return df.select(
         F.concat(F.lit("P:"), "product_id").alias("key"),
         "seq",
@@ -167,8 +175,9 @@ def fold_warehouse(
     marked = valid.join(repeated.withColumn("again", F.lit(True)), "event_id", "left").withColumn(
         "again", F.coalesce("again", F.lit(False))
     )
-    marks = marked.filter("again").select("seq", F.lit(True).alias("again"))
-    stock = stock.join(marks, "seq", "left").withColumn("shared", F.coalesce("again", F.lit(False)))
+    marked = marked.join(_hosted_ids(marked, max_group_rows), "event_id", "left").withColumn("hosted", F.coalesce("hosted", F.lit(False)))
+    marks = materialize(marked.filter("again").select("seq", "event_id", "event_type", "ts", "product_id", "hosted"))
+    stock = stock.join(marks.select("seq", "hosted"), "seq", "left").withColumn("shared", F.coalesce(~F.col("hosted"), F.lit(False)))
 
     lines = created.select("seq", "event_id", "ts", "order_id", F.posexplode("items").alias("line", "item")).select(
         "seq", "event_id", "ts", "order_id", "line", "item.*"
@@ -176,18 +185,22 @@ def fold_warehouse(
     touches = _stock_touch(stock.withColumn("op", F.col("event_type")).withColumn("line", F.lit(0)))
     touches = touches.unionByName(_stock_touch(lines.withColumn("op", F.lit("ORDER_LINE")).withColumn("shared", F.lit(True))))
     touches = touches.unionByName(_key_touch(created.unionByName(completed), "O:", F.col("order_id"), F.col("event_type"), 2**30))
-    touches = touches.unionByName(_key_touch(marked.filter("again"), "E:", F.col("event_id"), F.lit("LEDGER"), 2**30 + 1))
+    touches = touches.unionByName(_key_touch(marks.filter("NOT hosted"), "E:", F.col("event_id"), F.lit("LEDGER"), 2**30 + 1))
 
     order_lines = lines.select(F.col("seq").cast("string").alias("ref"), "product_id", "zone_id", "quantity", "line")
     seeds = []
-    if inventory is not None:
-        seeds.append(_inventory_seeds(inventory))
+    seen = None
+    if ledger is not None:
+        seen = marks.select("event_id", "product_id", "hosted").distinct().join(known, "event_id", "left_semi")
+    if inventory is not None or ledger is not None:
+        seeds.append(_product_seeds(inventory, None if seen is None else seen.filter("hosted")))
     if orders is not None:
         seeds.append(_order_seeds(orders))
         stored = orders.select(F.concat(F.lit("s:"), "order_id").alias("ref"), F.posexplode("items").alias("line", "item"))
         order_lines = order_lines.unionByName(stored.select("ref", "item.product_id", "item.zone_id", "item.quantity", "line"))
     if ledger is not None:
-        seeds.append(known.select(F.concat(F.lit("E:"), "event_id").alias("key"), F.lit('{"seen": true}').alias("state")))
+        apart = seen.filter("NOT hosted").select("event_id").distinct()
+        seeds.append(apart.select(F.concat(F.lit("E:"), "event_id").alias("key"), F.lit('{"seen": true}').alias("state")))
     seeded = None
     for s in seeds:
         seeded = s if seeded is None else seeded.unionByName(s)
@@ -220,8 +233,21 @@ def _key_touch(df, prefix, key, op, idx):
     )
 
 
-def _inventory_seeds(inventory):
-    """One JSON state per product: as many entries as the product has zones."""
+def _hosted_ids(marked, max_group_rows):
+    """Of the repeated event ids, those that only stock events of one product carry: their marks are kept with the
+    product, so that these events look at one key. Products that are cut into segments keep none."""
+    stock = F.col("event_type").isin(*ONE_ZONE, "PRODUCT_MOVED")
+    lines = marked.filter("event_type = 'ORDER_CREATED'").select(F.explode("items").alias("i")).select("i.product_id")
+    large = marked.filter(stock).select("product_id").unionByName(lines).groupBy("product_id").count().filter(F.col("count") > max_group_rows)
+    ids = marked.filter("again").groupBy("event_id").agg(
+        F.bool_and(stock).alias("stock"), F.min("product_id").alias("product_id"), F.max("product_id").alias("other")
+    )
+    ids = ids.filter("stock AND product_id = other").join(large, "product_id", "left_anti")
+    return ids.select("event_id", F.lit(True).alias("hosted"))
+
+
+def _product_seeds(inventory, seen):
+    """One JSON state per product: as many entries as the product has zones and known repeated ids."""
     zone = F.struct(
         F.col("available").alias("a"),
         F.col("reserved").alias("r"),
@@ -229,8 +255,14 @@ def _inventory_seeds(inventory):
         F.col("last_event_id").alias("e"),
         F.col("supplier_id").alias("s"),
     )
-    keyed = F.map_from_entries(F.collect_list(F.struct("zone_id", zone.alias("v"))))
-    states = inventory.groupBy("product_id").agg(F.to_json(keyed, {"ignoreNullFields": "false"}).alias("state"))
+    rows = None
+    if inventory is not None:
+        rows = inventory.select("product_id", F.concat(F.lit("z:"), "zone_id").alias("name"), zone.alias("v"))
+    if seen is not None:
+        mark = seen.select("product_id", F.concat(F.lit("e:"), "event_id").alias("name"), F.lit(None).cast("struct<a: bigint, r: bigint, t: bigint, e: string, s: string>").alias("v"))
+        rows = mark if rows is None else rows.unionByName(mark)
+    keyed = F.map_from_entries(F.collect_list(F.struct("name", "v")))
+    states = rows.groupBy("product_id").agg(F.to_json(keyed, {"ignoreNullFields": "false"}).alias("state"))
     return states.select(F.concat(F.lit("P:"), "product_id").alias("key"), "state")
 
 
@@ -248,9 +280,9 @@ def _inventory(states):
     zones = states.filter("key LIKE 'P:%'").select(
         F.expr("substring(key, 3)").alias("product_id"), F.explode(F.from_json("state", _ZONE)).alias("zone_id", "v")
     )
-    return zones.select(
+    return zones.filter("zone_id LIKE 'z:%'").select(
         "product_id",
-        "zone_id",
+        F.expr("substring(zone_id, 3)").alias("zone_id"),
         F.col("v.a").alias("available"),
         F.col("v.r").alias("reserved"),
         F.col("v.e").alias("last_event_id"),
