@@ -96,18 +96,19 @@ def ordered(
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` with a position 1, 2, ... over all its rows; rows that tie in ``order`` are numbered as they come.
 
-    Rows are cut into ranges of the order and numbered in each; a range starts after the counts of those before it,
-    which are one row per range. The result is a table, so every use sees the same numbers.
+    Rows are cut into sorted ranges of the order and written once, each with its range and its place there, so every use
+    sees the same numbers. A range starts after the counts of those before it, which are one row per range.
     """
     spark = df.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = materialize(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    counts = cut.groupBy("_range").count()
+    cut = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    cut = materialize(cut.withColumn("_at", F.monotonically_increasing_id()))  # range << 33 | place in it
+    placed = cut.withColumns({"_range": F.shiftright("_at", 33), "_within": F.col("_at").bitwiseAND((1 << 33) - 1)}).drop("_at")
+    counts = placed.groupBy("_range").count()
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most one row per range
-    starts = counts.select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    out = cut.withColumn("_within", within).join(F.broadcast(starts), "_range")
-    return materialize(out.withColumn(name, (F.col("_start") + F.col("_within")).cast("bigint")).select(*df.columns, name))
+    starts = materialize(counts.select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start")))
+    out = placed.join(F.broadcast(starts), "_range")
+    return out.withColumn(name, (F.col("_start") + F.col("_within") + 1).cast("bigint")).select(*df.columns, name)
 
 
 def _local(df, keys, order, row_number, previous, max_before, sum_through):

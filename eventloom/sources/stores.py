@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.session import materialize
 
+WRITERS = 4  # tables of a batch that are written side by side
+
 
 def with_month(events: DataFrame) -> DataFrame:
     return events.withColumn("event_month", F.date_format("event_date", "yyyyMM"))
@@ -163,14 +168,20 @@ class VersionedTables:
 
     def write(self, batch: int, tables: dict[str, DataFrame], layout: dict[str, tuple[str, str]] | None = None) -> None:
         """``layout`` names a table's partition column and the order inside it; ranges split a busy partition."""
-        for name, df in tables.items():
-            path = f"{self.path}/{name}/batch={batch}"
+
+        def put(name: str) -> None:
+            df, path = tables[name], f"{self.path}/{name}/batch={batch}"
             if layout and name in layout:
                 first, then = layout[name]
                 sorted_ = df.repartitionByRange(first, then).sortWithinPartitions(first, F.desc(then))
                 sorted_.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(first).parquet(path)
             else:
                 df.write.mode("overwrite").parquet(path)
+
+        # Tables with a layout have the most files, so they begin first; the others are written beside them.
+        names = sorted(tables, key=lambda name: name not in (layout or {}))
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(put), names))
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_manifest/{batch}")
         jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(jpath, True).close()
 

@@ -20,13 +20,14 @@ def apply_batch(store: VersionedTables, messages: DataFrame, batch: int, failed_
     last = store.committed()
     if last is not None and last >= batch:
         return
-    events = materialize(decode(messages))
+    events = decode(messages)
     limit = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
     inventory, orders, ledger = store.state("inventory"), store.state("orders"), store.log("ledger")
     if inventory is None:
         result = W.fold_warehouse(events, **limit)
         stock, order_rows = result.inventory, result.orders
     else:
+        events = materialize(events)
         named = events.select("product_id").filter("product_id IS NOT NULL")
         items = events.select(F.explode("items").alias("i")).select("i.product_id")
         order_ids = events.select("order_id").filter("order_id IS NOT NULL").distinct()
