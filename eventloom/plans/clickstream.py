@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import clickstream as C
 from eventloom.plans.registry import query
 from eventloom.session import work_dir
-from eventloom.sources import stores
+from eventloom.sources import retention, stores
 from eventloom.sources.tables import AS_OF, MOVIE_SQL, NOW, movie_events, wire_movie_events
 from eventloom.streaming import movies
 
@@ -43,7 +43,13 @@ def _(spark, sf):
 @query("src4_retention", f"""{W} SELECT event_date, count(*) AS kept FROM movie_events
   WHERE event_date + 90 > DATE '2024-04-15' GROUP BY event_date""")
 def _(spark, sf):
-    kept = stores.retain(movie_events(spark, sf), "event_date", stores.RETENTION_DAYS["events"], "2024-04-15")
+    """A store by day whose expired days are retired; a day later their files go, and what is read stays the same."""
+    path = work_dir(spark, "retention")
+    movie_events(spark, sf).repartition("event_date").write.partitionBy("event_date").parquet(path)
+    days = retention.horizon("events")
+    retention.retire(spark, path, "event_date", days, "2024-04-15")
+    kept = retention.live(spark, path, "event_date")
+    retention.retire(spark, path, "event_date", days + 1, "2024-04-16")  # nothing more expires; the retired files go
     return kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("kept"))
 
 

@@ -49,3 +49,22 @@ def test_a_store_belongs_to_its_stream(spark):
     stores.claim(spark, path, "a")
     with pytest.raises(ValueError):
         stores.claim(spark, path, "b")
+
+
+def test_quantiles_of_a_label_in_many_ranges(spark):
+    """Cut into ranges or not, the quantiles are those of the sorted values; a null label is a label."""
+    import numpy as np
+
+    from eventloom.operators.observability import exact_quantiles
+
+    rng = np.random.default_rng(1)
+    data = [("hot", float(x)) for x in rng.integers(0, 4000, 6000)] + [("few", 3.0), ("few", 8.0), (None, 1.5), ("none", None)]
+    df = spark.createDataFrame(data, "label string, x double")
+    for limit in (50, 1_000_000):
+        got = {r.label: (r.p50, r.p95) for r in exact_quantiles(df, ["label"], "x", {"p50": 0.5, "p95": 0.95}, limit).collect()}
+        for label in ("hot", "few", None):
+            want = np.quantile([x for name, x in data if name == label], [0.5, 0.95])
+            assert np.allclose(got.pop(label), want)
+        assert not got
+        whole = exact_quantiles(df, [], "x", {"p95": 0.95}, limit).collect()
+        assert len(whole) == 1 and np.isclose(whole[0].p95, np.quantile([x for _, x in data if x is not None], 0.95))
