@@ -1,7 +1,8 @@
 """URL rules by a cascade of Bloom filters that is exact over the keys of the corpus.
 
-A URL's keys are every suffix of its host, joined with the beginnings of its path at the lengths that rules have.
-A rule fits a URL exactly if it is among these keys. The cascade answers that without a join: level 1 is a Bloom
+A URL's keys are the suffixes of its host with as many labels as a rule has, each joined with the beginning of its path
+at that rule's length. A rule fits a URL exactly if it is among these keys, so their number follows the rules' forms and
+not the host's labels. The cascade answers that without a join: level 1 is a Bloom
 filter of the listed keys, level 2 one of the unlisted keys of the corpus that level 1 lets through, level 3 one of
 the listed keys that level 2 lets through, and so on until none is left. A key is listed if the first level that
 does not hold it is an even one. Since the levels were built over all keys of the corpus, no key is judged wrongly.
@@ -36,12 +37,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/]*(/?[\s\S]*)$", 1)
 
 
-def keys_of(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """Array of keys: each suffix of the host at a label, with each beginning of the path at a rule's length."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    starts = F.filter(F.array(*[F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in lengths]), lambda x: x.isNotNull())
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p))))
+def keys_of(host: Column, path: Column, forms: Sequence[tuple[int, int]]) -> Column:
+    """Array of keys: for each form of a rule (labels, path length) the URL's last labels and the start of its path."""
+    dots = F.char_length(host) - F.char_length(F.replace(host, F.lit("."), F.lit("")))
+    keys = [
+        F.when((dots >= labels - 1) & (F.char_length(path) >= n), F.concat(F.substring_index(host, ".", -labels), F.substring(path, 1, n)))
+        for labels, n in forms
+    ]
+    return F.filter(F.array(*keys), lambda k: k.isNotNull())
 
 
 def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
@@ -105,17 +108,19 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     ``rules``: host, path, verdict (allow or block). A rule fits its host and all subdomains if the path starts
     with the rule's; the longest fitting rule decides, then the one with the longer host. Where none fits, the key
     is on no list and the verdict is ``default``. Null URLs and those without ``://`` have empty host and path.
-    Rules given twice count once; of rules that differ in the verdict only, block holds. Repeated rows are each
-    judged. Other columns are not read.
+    Rules given twice count once; of rules that differ in the verdict only, block holds. Rules without host or path
+    fit nothing. Repeated rows are each judged; hosts may have any number of labels and urls any length. An empty
+    table gives an empty result. Other columns are not read.
     """
     host, path = split_url(F.col(url_col))
     parts = materialize(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")))
     rules = rules.select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
-    lengths = sorted(r[0] for r in rules.select(F.char_length("path")).distinct().collect())
-    own = keys_of(F.col("host"), F.col("path"), lengths)
-    corpus = parts.select("host", "path").distinct().select(F.explode(own).alias("key")) if lengths else None
-    if corpus is None:
+    labels = F.size(F.split("host", r"\."))
+    forms = sorted(tuple(r) for r in rules.filter("host IS NOT NULL AND path IS NOT NULL").select(labels, F.char_length("path")).distinct().collect())
+    if not forms:
         return parts.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    own = keys_of(F.col("host"), F.col("path"), forms)
+    corpus = parts.select("host", "path").distinct().select(F.explode(own).alias("key"))
     marked = rules.groupBy(F.concat("host", "path").alias("key")).agg(F.max("verdict").alias("verdict"))
     # Rules and corpus meet in one aggregation by key, so marking the listed keys needs no join either.
     nothing = F.lit(None).cast("string")

@@ -106,3 +106,12 @@ def test_cascade_membership_over_its_universe(spark):
     assert universe.filter(url_cascade.is_listed(F.col("key"), levels) != F.col("in")).count() == 0
     with pytest.raises(ValueError):
         url_cascade.build_cascade(universe, F.col("in"), most_bits=64)
+
+
+def test_hosts_of_many_labels(spark):
+    """Keys follow the rules' forms, so a host's labels cost no more than reading them."""
+    hosts = ["a." * 50_000 + "net", "b." * 9_000 + "a.b.c", "." * 20_000 + "org", "x" * 40_000 + ".example.com"]
+    urls = [f"http://{h}{p}" for h in hosts for p in ("/de/1", "/fr/", "/x", "")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: tuple(r)[1:] for r in url_cascade.judge_urls(pages, url_cascade.rule_table(spark, RULES)).collect()}
+    assert got == {i: brute_verdict(u, RULES) for i, u in enumerate(urls)}
