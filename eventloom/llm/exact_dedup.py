@@ -2,14 +2,17 @@
 
 Every input partition first becomes a run: one row per distinct digest with its best identifier and count, sorted
 by digest. Runs are numbered in base ``fan``, and so is the run in which a digest ends. In round j the runs that
-differ in digit j only exchange rows: each takes the digests whose digit j is its own, merges what it got and
-keeps one row per verified digest. After the last round every digest is in one run. A text with very many copies
-is one row per run from the start, so no round meets more than ``fan`` rows of it in a task.
+differ in digit j only exchange rows: each takes the digests whose digit j is its own, merges what it got in digest
+order and keeps one row per verified digest. After the last round every digest is in one run. A text with very many
+copies is one row per run from the start, so no later round meets more than ``fan`` rows of it in a task.
+
+Runs are merged by windows over (run, digest), which need their rows sorted and pass over them once, so the sorts stay
+in the plan (an aggregation by the same columns would drop them and hash).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import fresh, shuffle_partitions, table, whole, without
@@ -31,22 +34,27 @@ def merged_runs(digests: DataFrame, keep: str = "min", fan: int = FAN) -> DataFr
     rounds = 1
     while fan**rounds < shuffle_partitions(digests.sparkSession):
         rounds += 1
-    best, same = (F.max if keep == "max" else F.min), ["sha", "bytes", "check"]
+    same = ["sha", "bytes", "check"]
     home = F.pmod(F.col("check"), F.lit(fan**rounds))
+    # The identifier that stays comes last of its digest; null ids come first, so they stay only alone.
+    last = F.col("keep_id").asc_nulls_first() if keep == "max" else F.col("keep_id").desc_nulls_first()
+    run_order = Window.partitionBy("run", *same).orderBy(last)
 
     def digit(run: Column, j: int) -> Column:
         return F.pmod(F.floor(run / F.lit(fan**j)), F.lit(fan)).cast("long")
 
     def merge(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("run", *same).agg(best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        """One row per run and digest: running counts in run order, of which the digest's last row has the total."""
+        so_far = F.sum("group_size").over(run_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ends = F.lead(F.lit(1)).over(run_order).isNull()
+        counted = rows.repartition("run").withColumn("so_far", so_far).withColumn("ends", ends).filter("ends")
+        return counted.select("run", *same, "keep_id", F.col("so_far").alias("group_size"))
 
     start = F.pmod(F.spark_partition_id().cast("long"), F.lit(fan**rounds))
-    runs = digests.select(start.alias("run"), *same, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    runs = merge(runs)
+    runs = merge(digests.select(start.alias("run"), *same, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")))
     for j in range(rounds):
         moved = F.col("run") + (digit(home, j) - digit(F.col("run"), j)) * F.lit(fan**j)
-        runs = runs.withColumn("run", moved).repartition("run").sortWithinPartitions("run", *same)
-        runs = merge(runs)
+        runs = merge(runs.withColumn("run", moved))
     return runs.drop("run")
 
 
@@ -56,7 +64,7 @@ def exact_dedup(docs: DataFrame, keep: str = "min", id_col: str = "doc_id", text
     ``keep``: whether the smallest or the largest id of equal texts stays. Texts are compared unchanged; null counts
     as empty, and empty texts are equal. Rows that repeat both id and text all carry the id that stays, so all are
     marked kept: :func:`kept_rows` leaves one of them. A null id stays only where its text has no other id. An empty
-    table gives an empty result. Other columns are not read.
+    table gives an empty result. Very long texts enter by digest and length only. Other columns are not read.
     """
     digests = materialize(_digests(docs, id_col, text_col))
     groups = materialize(merged_runs(digests, keep, fan))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventloom.llm import exact_dedup, kd_shards, near_copies, simhash_trie
+from eventloom.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,6 +94,25 @@ def test_merged_runs_over_many_rounds(spark):
     assert sorted(rows_of(found.select("keep_id", "group_size"))) == sorted((r[1], r[2]) for r in want.collect())
 
 
+def test_runs_are_merged_in_sorted_order(spark, capsys):
+    """Every merge is a window over rows sorted by (run, digest): one exchange by run, then the sort, per round."""
+    digests = materialize(exact_dedup._digests(documents(spark), "doc_id", "text"))
+    exact_dedup.merged_runs(digests, "max", fan=2).explain("simple")
+    plan = capsys.readouterr().out.splitlines()
+    steps = [re.search(r"(Window \[|Sort \[run|Exchange hashpartitioning\(run)", line) for line in plan]
+    steps = [s.group(1).split()[0] for s in steps if s]
+    assert steps == ["Window", "Sort", "Exchange"] * 3  # the first runs and two rounds over four partitions
+    assert not any("Aggregate" in line for line in plan)
+
+
+def test_a_text_with_very_many_copies(spark):
+    docs = spark.range(0, 60_000, 1, 8).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 25_000)).alias("text"))
+    want = docs.groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    got = exact_dedup.merged_runs(exact_dedup._digests(docs, "doc_id", "text"), "max", fan=2).select(F.lower(F.hex("sha")).alias("sha"), "keep_id", "group_size")
+    want = want.select(F.sha2("text", 256).alias("sha"), "keep_id", "group_size")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def brute_fingerprint(text):
     text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x20\x09-\x0d]+", text)
