@@ -170,7 +170,10 @@ def fold_warehouse(
 
     repeated = valid.groupBy("event_id").count().filter("count > 1").select("event_id")
     if ledger is not None:
-        known = ledger.select("event_id").distinct().join(valid.select("event_id"), "event_id", "left_semi")
+        # The batch's ids are the small side: the ledger is reduced to them before anything else is done with it, and
+        # Spark can put a runtime filter of them on its scan.
+        ids = valid.select("event_id").distinct()
+        known = materialize(ledger.select("event_id").join(ids, "event_id", "left_semi").distinct())
         repeated = repeated.union(known).distinct()
     marked = valid.join(repeated.withColumn("again", F.lit(True)), "event_id", "left").withColumn(
         "again", F.coalesce("again", F.lit(False))

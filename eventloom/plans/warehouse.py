@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from eventloom.operators import warehouse as W
 from eventloom.plans.registry import query
 from eventloom.session import work_dir
-from eventloom.sources.stores import RETENTION_DAYS, VersionedTables, retain
+from eventloom.sources.stores import VersionedTables
 from eventloom.sources.tables import table
 from eventloom.sources.warehouse import FOLD_SQL, PRODUCT_SQL, all_messages, decode, order_messages, product_messages
-from eventloom.streaming.warehouse import TOPIC, apply_batch, inventory_views, run_stream
+from eventloom.streaming.warehouse import TOPIC, apply_batch, run_stream
 
 FAILED_AT = "2024-01-30T00:00:00Z"
 _RUNS: dict[tuple, VersionedTables] = {}
@@ -126,7 +126,7 @@ def _(spark, sf):
 @query("snk9_processed_ledger", f"""{FOLD_SQL} SELECT event_id, event_type, ts AS event_timestamp, 0 AS partition, seq AS "offset"
   FROM outcomes WHERE outcome = 'processed'""")
 def _(spark, sf):
-    return _run(spark, sf, "products").log("ledger").drop("batch")
+    return _run(spark, sf, "products").log("ledger").drop("batch", "processed_on")
 
 
 @query("jn7_unseen_events", f"""{FOLD_SQL} SELECT seq, event_id FROM outcomes o WHERE event_id IS NOT NULL

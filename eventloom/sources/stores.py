@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from eventloom.session import materialize
+from eventloom.sources import keyed
 
 WRITERS = 4  # tables of a batch that are written side by side
 
@@ -53,7 +56,7 @@ RETENTION_DAYS = {"events": 90, "ledger": 30, "history": 30, "delivery": 180}
 def retain(df: DataFrame, date: str | Column, days: int, as_of) -> DataFrame:
     """Rows still inside the horizon: strictly younger than ``days`` before ``as_of``."""
     column = F.col(date) if isinstance(date, str) else date
-    return df.filter(F.date_add(column, days) > F.lit(as_of).cast("date"))
+    return df.filter(F.date_add(column, days) > (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("date"))
 
 
 def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], partition: str) -> int:
@@ -152,7 +155,8 @@ class VersionedTables:
 
     A batch writes each table under ``<table>/batch=N`` and then a manifest file for N. Readers take the
     newest manifest, so a half-written batch is never seen and a repeated batch replaces its own files.
-    ``state`` tables are whole per batch; ``log`` tables are the union of the committed batches.
+    ``state`` tables get the rows that a batch changed (see ``sources.keyed``); ``log`` tables are the union of the
+    committed batches.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -166,13 +170,23 @@ class VersionedTables:
         done = [int(f.getPath().getName()) for f in files if f.getPath().getName().isdigit()]
         return max(done, default=None)
 
-    def write(self, batch: int, tables: dict[str, DataFrame], layout: dict[str, tuple[str, str]] | None = None) -> None:
-        """``layout`` names a table's partition column and the order inside it; ranges split a busy partition."""
+    def write(
+        self,
+        batch: int,
+        tables: dict[str, DataFrame],
+        layout: dict[str, tuple[str, str]] | None = None,
+        keys: dict[str, list[str]] | None = None,
+    ) -> None:
+        """``layout`` names a table's partition column and the order inside it; ranges split a busy partition.
+        ``keys`` names the state tables, whose rows are what the batch changed."""
 
         def put(name: str) -> None:
             df, path = tables[name], f"{self.path}/{name}/batch={batch}"
-            if layout and name in layout:
+            if keys and name in keys:
+                keyed.write_changes(df, f"{self.path}/{name}", batch, keys[name])
+            elif layout and name in layout:
                 first, then = layout[name]
+                keyed.describe(self.spark, f"{self.path}/{name}", {"schema": json.loads(df.schema.json())})
                 sorted_ = df.repartitionByRange(first, then).sortWithinPartitions(first, F.desc(then))
                 sorted_.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(first).parquet(path)
             else:
@@ -185,13 +199,22 @@ class VersionedTables:
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_manifest/{batch}")
         jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(jpath, True).close()
 
-    def state(self, name: str) -> DataFrame | None:
+    def state(self, name: str, of: DataFrame | None = None) -> DataFrame | None:
+        """A state table as of the newest batch; ``of`` names the values of its first key that are wanted."""
         batch = self.committed()
-        return None if batch is None else self.spark.read.parquet(f"{self.path}/{name}/batch={batch}")
+        return None if batch is None else keyed.newest(self.spark, f"{self.path}/{name}", batch, of)
+
+    def fold(self, names: list[str], after: int = keyed.FOLD_AFTER) -> list[str]:
+        """Fold the changes of state tables that have gathered ``after`` batches; returns those folded."""
+        batch = self.committed()
+        return [] if batch is None else [n for n in names if keyed.fold_changes(self.spark, f"{self.path}/{n}", batch, after)]
 
     def log(self, name: str, before: int | None = None) -> DataFrame | None:
         last = self.committed()
         if last is None:
             return None
-        df = self.spark.read.option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
+        reader, about = self.spark.read.option("basePath", f"{self.path}/{name}"), keyed.described(self.spark, f"{self.path}/{name}")
+        if about is not None:  # partitioned by a column, so a batch without rows has no file to take a schema from
+            reader = reader.schema(StructType.fromJson(about["schema"]).add("batch", IntegerType()))
+        df = reader.parquet(f"{self.path}/{name}")
         return df.filter((F.col("batch") <= last) & (F.col("batch") < before if before is not None else F.lit(True)))
