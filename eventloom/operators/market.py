@@ -48,6 +48,16 @@ def orders_visible_to(orders: DataFrame, user_id: str, role: str) -> DataFrame:
     return mine.orderBy(F.desc("created_at"), "order_id")
 
 
+def order_lists(orders: DataFrame, principals: DataFrame) -> DataFrame:
+    """The orders of every principal's list: ``viewer`` and the order's columns.
+
+    ``principals``: user_id (unique), role. Admins see all orders, so they share one list, under the viewer ``ADMIN``,
+    instead of a copy each; it is there if there is an admin. Others see their own."""
+    own = orders.join(principals.filter("role <> 'ADMIN'").select("user_id"), "user_id").withColumn("viewer", F.col("user_id"))
+    admins = principals.filter("role = 'ADMIN'").select(F.lit("ADMIN").alias("viewer")).limit(1)  # one row with all orders
+    return own.select("viewer", *orders.columns).unionByName(orders.join(F.broadcast(admins), F.lit(True)).select("viewer", *orders.columns))
+
+
 def soft_delete(products: DataFrame, requests: DataFrame) -> DataFrame:
     """Archive requested products (product_id, user_id, role) when the requester owns them or is an admin."""
     allowed = (

@@ -363,6 +363,16 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def by_zone(events: DataFrame) -> DataFrame:
+    """One row per event and zone: ``side`` is ``from``, or ``to`` for the other zone of a move."""
+    other = F.when((F.col("event_type") == "PRODUCT_MOVED") & (F.col("to_zone_id") != F.col("zone_id")), F.col("to_zone_id"))
+    one = F.struct(F.col("zone_id").alias("zone_id"), F.lit("from").alias("side"))
+    two = F.struct(other.alias("zone_id"), F.lit("to").alias("side"))
+    sides = F.when(other.isNull(), F.array(one)).otherwise(F.array(one, two))
+    kept = [c for c in events.columns if c not in ("zone_id", "to_zone_id")]
+    return events.select(*kept, F.inline(sides))
+
+
 def stale_events(events: DataFrame, keys: list[str], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Mark events not newer than every earlier arrival of their key."""
     from eventloom.functions.ordering import ordered

@@ -210,13 +210,16 @@ def _(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
-@query("win3_stale_events", f"""{_EVENTS} SELECT seq, product_id, zi, coalesce(ts <= max(ts) OVER (PARTITION BY product_id, zi ORDER BY seq
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS is_stale FROM wh WHERE NOT unreadable AND event_type <> 'PRODUCT_MOVED'""")
+@query("win3_stale_events", f"""{_EVENTS}, z AS (SELECT seq, product_id, ts, zi, 'from' AS side FROM wh WHERE NOT unreadable
+    UNION ALL SELECT seq, product_id, ts, ti, 'to' FROM wh WHERE NOT unreadable AND event_type = 'PRODUCT_MOVED' AND ti <> zi)
+  SELECT seq, product_id, zi, side, coalesce(ts <= max(ts) OVER (PARTITION BY product_id, zi ORDER BY seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS is_stale FROM z""")
 def _(spark, sf):
-    """Every event on one zone; a move has two, each with its own order."""
-    events = decode(product_messages(spark, sf)).filter("NOT unreadable AND event_type <> 'PRODUCT_MOVED'")
-    marked = W.stale_events(events.select("seq", "product_id", "zone_id", "ts"), ["product_id", "zone_id"])
-    return marked.select("seq", "product_id", (F.ascii(F.substring("zone_id", 6, 1)) - 64).alias("zi"), "is_stale")
+    """Every event against each zone it touches: a move touches two, and may be stale in one of them only."""
+    events = decode(product_messages(spark, sf)).filter("NOT unreadable")
+    sides = W.by_zone(events).select("seq", "product_id", "zone_id", "ts", "side")
+    marked = W.stale_events(sides, ["product_id", "zone_id"])
+    return marked.select("seq", "product_id", (F.ascii(F.substring("zone_id", 6, 1)) - 64).alias("zi"), "side", "is_stale")
 
 
 @query("win4_latest_state", f"""{_EVENTS} SELECT product_id, zi, max(seq) AS seq, arg_max(event_type, seq) AS event_type, arg_max(ts, seq) AS ts

@@ -14,6 +14,8 @@ from eventloom.session import materialize
 from eventloom.sources import keyed
 
 WRITERS = 4  # tables of a batch that are written side by side
+ROWS_PER_WRITER = 1_000_000
+DIRS_PER_WRITER = 32
 
 
 def with_month(events: DataFrame) -> DataFrame:
@@ -150,6 +152,15 @@ def claim(spark: SparkSession, path: str, owner: str) -> None:
     out.close()
 
 
+def _writers(df: DataFrame, column: str) -> int:
+    """Tasks that write a table partitioned by ``column``: enough for its rows and for its directories.
+
+    By size alone, a batch of few rows over many dates is one task that opens a file for each date in turn."""
+    rows, dirs = df.agg(F.count(F.lit(1)), F.approx_count_distinct(column)).first()
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, rows // ROWS_PER_WRITER, min(most, dirs // DIRS_PER_WRITER))
+
+
 class VersionedTables:
     """Several tables that change together.
 
@@ -187,7 +198,7 @@ class VersionedTables:
             elif layout and name in layout:
                 first, then = layout[name]
                 keyed.describe(self.spark, f"{self.path}/{name}", {"schema": json.loads(df.schema.json())})
-                sorted_ = df.repartitionByRange(first, then).sortWithinPartitions(first, F.desc(then))
+                sorted_ = df.repartitionByRange(_writers(df, first), first, then).sortWithinPartitions(first, F.desc(then))
                 sorted_.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(first).parquet(path)
             else:
                 df.write.mode("overwrite").parquet(path)
