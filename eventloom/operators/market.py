@@ -501,8 +501,9 @@ def decide_orders(
     )
     return MarketResult(
         decisions,
-        _state(result.states, "S:", "product_id", "stock BIGINT"),
-        _state(result.states, "C:", "code", "uses BIGINT").withColumnRenamed("uses", "current_uses"),
+        # What stored orders refer to may be gone; such a key was met but has no stock and no uses.
+        _state(result.states, "S:", "product_id", "stock BIGINT").filter("stock IS NOT NULL"),
+        _state(result.states, "C:", "code", "uses BIGINT").withColumnRenamed("uses", "current_uses").filter("current_uses IS NOT NULL"),
         _user_orders(result.states),
         result.rounds,
     )

@@ -233,7 +233,8 @@ def requests(spark, sf):
     """One batch: each order placed by its customer at its date, a third changed, nearly all closed by a cancel.
 
     The last line of an order is bought again in the change. Cancels of stored orders (``o...``) ask about the
-    orders table itself.
+    orders table itself: first, three in four customers close all their stored open orders; the others keep theirs,
+    which stand in the way of what they place, until one is closed in passing.
     """
     k = F.col("o_orderkey")
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
@@ -264,6 +265,8 @@ def requests(spark, sf):
     out = out.unionByName(rows(base.filter(k % 3 == 0), 2, "UPDATE", F.when(k % 9 == 0, other).otherwise(owner), F.slice(plain, -1, 1), new))
     out = out.unionByName(rows(base.filter(k % 40 != 0), 20, "CANCEL", F.when(k % 50 == 1, other).otherwise(owner), none, new))
     out = out.unionByName(rows(base.filter(k % 7 == 0), 1, "CANCEL", F.when(k % 10 == 1, other).otherwise(owner), none, F.concat(F.lit("o"), k)))
+    stale = base.filter("o_orderstatus IN ('O', 'P') AND o_custkey % 4 <> 0").withColumn("day", F.lit(-1_000_000).cast("bigint"))
+    out = out.unionByName(rows(stale, 0, "CANCEL", owner, none, F.concat(F.lit("o"), k)))
     arrived = numbered(out.join(people, "user_id"), [F.col(c) for c in ("day", "order_key", "turn", "order_id")], "seq")
     return arrived.drop("day", "order_key", "turn")
 
@@ -271,10 +274,9 @@ def requests(spark, sf):
 def _batch(spark, sf) -> K.MarketResult:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _BATCH:
-        stored = M.orders(spark, sf).filter("status <> 'CREATED' AND status <> 'PAYMENT_PENDING'")
         goods = M.products(spark, sf).withColumn("stock", F.col("stock") * 2)
         result = K.decide_orders(
-            requests(spark, sf), goods, M.promos(spark, sf), stored, M.items(spark, sf), min_gap=86_400
+            requests(spark, sf), goods, M.promos(spark, sf), M.orders(spark, sf), M.items(spark, sf), min_gap=86_400
         )
         result.decisions = materialize(result.decisions)
         _BATCH[key] = result

@@ -19,11 +19,12 @@ def off(total, percent):
     return min(cut, (total * Decimal("0.70")).quantize(CENT, ROUND_HALF_UP))
 
 
-def brute(requests, products, promos, gap):
+def brute(requests, products, promos, gap, stored=()):
     stock = {p["product_id"]: p["stock"] for p in products}
     goods = {p["product_id"]: p for p in products}
     codes = {p["code"]: dict(p) for p in promos}
-    orders, clock, out = {}, {}, []
+    orders = {o["order_id"]: {"user": o["user_id"], "status": o["status"], "items": o["items"], "promo": o["promo_code"]} for o in stored}
+    clock, out = {}, []
 
     def limited(user, kind, ts):
         last = clock.get((user, kind))
@@ -91,13 +92,17 @@ def brute(requests, products, promos, gap):
         if limited(r["user_id"], "UPDATE", r["ts"]):
             return "ORDER_LIMIT_EXCEEDED"
         o, have = orders[r["order_id"]], dict(stock)
+        if any(p not in goods for p, _ in o["items"]):
+            return "PRODUCT_NOT_FOUND"
         for p, q in o["items"]:
             have[p] += q
         problem = lines_problem(r["items"], have)
         if problem:
             return problem
         total = total_of(r["items"])
-        if o["promo"]:
+        if o["promo"] and o["promo"] not in codes:
+            pass
+        elif o["promo"]:
             least = codes[o["promo"]]["min_order_amount"]
             if least is not None and total < least:
                 codes[o["promo"]]["current_uses"] -= 1
@@ -120,9 +125,11 @@ def brute(requests, products, promos, gap):
         if problem:
             return problem
         o = orders[r["order_id"]]
+        if any(p not in goods for p, _ in o["items"]):
+            return "PRODUCT_NOT_FOUND"
         for p, q in o["items"]:
             stock[p] += q
-        if o["promo"]:
+        if o["promo"] in codes:
             codes[o["promo"]]["current_uses"] -= 1
         o["status"] = "CANCELED"
         return "OK"
@@ -132,7 +139,7 @@ def brute(requests, products, promos, gap):
         price = None
         if code == "OK" and r["kind"] != "CANCEL":
             total, promo = total_of(r["items"]), orders[r["order_id"]]["promo"]
-            price = (total, total - (off(total, codes[promo]["discount_percent"]) if promo else 0))
+            price = (total, total - (off(total, codes[promo]["discount_percent"]) if promo in codes else 0))
         out.append((code, price))
     return out, stock, {c: p["current_uses"] for c, p in codes.items()}, {k: o["status"] for k, o in orders.items()}
 
@@ -151,7 +158,7 @@ def world():
     return products, promos
 
 
-def script(seed, n=250):
+def script(seed, n=250, stored=()):
     rng, made, out = random.Random(seed), [], []
     for i in range(n):
         user = rng.randrange(8)
@@ -162,7 +169,7 @@ def script(seed, n=250):
             kind, order_id = "CREATE", f"o{i}"
             made.append((order_id, user))
         else:
-            order_id, owner = rng.choice(made[-6:])
+            order_id, owner = rng.choice(stored if stored and rng.random() < 0.6 else made[-6:])
             if rng.random() < 0.6:
                 user, role = owner, {0: "ADMIN", 1: "SELLER"}.get(owner, "USER")
         out.append(
@@ -197,6 +204,40 @@ def test_orders_equal_brute_force(spark, seed, limit):
     assert {"OK", "INSUFFICIENT_STOCK", "ORDER_HAS_ACTIVE", "PRODUCT_INACTIVE", "PROMO_CODE_INVALID"} <= {w[0] for w in want}
 
 
+def stored_orders():
+    """Two or more stored orders a user, open and closed ones; one holds a product that is gone."""
+    states = ["CREATED", "PAYMENT_PENDING", "COMPLETED", "CANCELED"]
+    return [
+        dict(order_id=f"s{i}", user_id=f"u{i % 7}", status=states[i * 5 % 4], promo_code=["TEN", "BIG", None, "GONE"][i // 3 % 4],
+             items=[("p9" if i == 12 else f"p{i % 4}", 1 + i % 3), (f"p{(i + 1) % 4}", 2)])
+        for i in range(18)
+    ]
+
+
+@pytest.mark.parametrize("seed,limit", [(93, 1_000_000), (58, 30)])
+def test_orders_over_stored_ones_equal_brute_force(spark, seed, limit):
+    stored, (products, promos) = stored_orders(), world()
+    promos[0] |= {"current_uses": 4, "max_uses": 6}
+    promos[1]["current_uses"] = 3
+    requests = script(seed, 250, [(o["order_id"], int(o["user_id"][1:])) for o in stored])
+    want, stock, uses, status = brute(requests, products, promos, 150, stored)
+    heads = spark.createDataFrame([(o["order_id"], o["user_id"], o["status"], o["promo_code"]) for o in stored], "order_id STRING, user_id STRING, status STRING, promo_code STRING")
+    lines = [(o["order_id"], n, p, q) for o in stored for n, (p, q) in enumerate(o["items"])]
+    result = decide_orders(
+        rows(spark, requests, REQUEST), rows(spark, products, PRODUCT), rows(spark, promos, PROMO), heads,
+        spark.createDataFrame(lines, "order_id STRING, line INT, product_id STRING, quantity INT"), min_gap=150, max_group_rows=limit,
+    )
+    got = {r.seq: (r.code, None if r.total is None else (r.total, r.discounted)) for r in result.decisions.collect()}
+    assert [got[i] for i in range(len(requests))] == want
+    assert {r.product_id: r.stock for r in result.stock.collect()} == stock
+    assert {r.code: r.current_uses for r in result.uses.collect()} == uses
+    named = {r["order_id"] for r in requests}
+    assert {r.order_id: r.status for r in result.orders.collect()} == {k: v for k, v in status.items() if k in named}
+    done = {(r["kind"], w[0]) for r, w in zip(requests, want) if r["order_id"].startswith("s")}
+    assert {("CANCEL", "OK"), ("CANCEL", "INVALID_STATE_TRANSITION"), ("UPDATE", "OK")} <= done
+    assert ("CREATE", "ORDER_HAS_ACTIVE") in {(r["kind"], w[0]) for r, w in zip(requests, want)}
+
+
 def test_discount_examples(spark):
     cases = [("1500.00", "10", "150.00"), ("10.05", "50", "5.03"), ("100.00", "90", "70.00"), ("0.01", "10", "0.00")]
     df = spark.createDataFrame([(Decimal(t), Decimal(p), Decimal(d)) for t, p, d in cases], "t DECIMAL(18,2), p DECIMAL(5,2), want DECIMAL(18,2)")
