@@ -24,7 +24,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word similarity of 0.8 or more), the document with the smallest id stays."""
+    """Of each group of near copies, the document with the smallest id stays: SimHash fingerprints linked by their trie,
+    checked against a five-word similarity of 0.8 or more, and completed where copies lie further apart."""
     return near_copies.kept_rows(docs)
 
 

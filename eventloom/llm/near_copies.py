@@ -1,12 +1,14 @@
-"""Near copies by an exact join of word shingles: rows link where the Jaccard similarity of their sets is 0.8 or more.
+"""Near copies: SimHash fingerprints joined by their trie, then exactly checked; the Jaccard similarity of shingle sets decides.
 
-Rows with equal sets are one class. Of a set's n shingles, in any order that all sets share, two sets that are similar
-enough have one in common among the first n - ceil(0.8 n) + 1, so those are what is joined and no link can be missed.
-The order puts common shingles last. How common they are is a sketch, which decides about work only.
+Rows with equal sets are one class. The classes' fingerprints (three words, as in :mod:`simhash_trie`) meet in the trie
+self-join; the links of its forest are verified on the whole sets, and those of 0.8 or more are joined to components.
 
-Classes that share such a shingle first meet one of them each, not one another. Pairs whose parity bitmaps differ in more
-bits than sets as similar could, go; the others are verified on the whole sets and joined to components. Only what shares a shingle and is still apart meets in pairs afterwards, so a large group
-of near copies costs about its size.
+What the fingerprints leave apart is completed by an exact join, so no link is missed. Of a set's n shingles, in any order
+that all sets share, two sets that are similar enough have one in common among the first n - ceil(0.8 n) + 1, so those are
+what is joined. The order puts common shingles last. How common they are is a sketch, which decides about work only.
+Classes that share such a shingle first meet their neighbours in the order of the fingerprints, turned several ways; only
+what is still in different components meets in pairs, so a large group of near copies costs about its size. A pair is left
+out where the places of the shared shingle or the parity of the sets' parts show that it cannot be similar enough.
 """
 
 from __future__ import annotations
@@ -17,15 +19,17 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import MOST_BROADCAST_ROWS, fresh, without
-from eventloom.llm.simhash_trie import SEED, _LOWER, components
+from eventloom.llm.simhash_trie import BITS, SEED, _LOWER, components, link_forest, simhash
 from eventloom.session import materialize
 
 SKETCH = 20  # bits of a shingle's hash that are counted together
-STARS = 4  # different members that a group's classes meet first
+BUDGET, PRINT_WORDS = 3, 3  # bits that linked fingerprints differ in at most, and the words of what they are made of
+TURNS = (0, 16, 32, 48)  # bits by which fingerprints are turned before their order tells who meets first
+SHORT = 128  # bits of the parity that travels with each shingle
 BITMAP = 1024  # bits that tell for parts of a set whether their size is odd
 WIDE = 1 << 14  # the same for the sets that pass, as long sets fill the short bitmap
 CHUNK = 256  # pairs of one class that travel with one copy of its set
@@ -70,7 +74,7 @@ def possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _mapped(docs: DataFrame, words: int, rows, schema: str) -> DataFrame:
-    """``rows`` turns the ids and sets of a batch into columns; called with None at the end of a task."""
+    """``rows`` turns the ids, sets and texts of a batch into columns; called with None at the end of a task."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,33 +82,38 @@ def _mapped(docs: DataFrame, words: int, rows, schema: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                sets = [shingles(t, words) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(rows(state, batch.column(0), sets), names)
-        last = rows(state, None, [])
+                texts = batch.column(1).to_pylist()
+                yield pa.RecordBatch.from_arrays(rows(state, batch.column(0), [shingles(t, words) for t in texts], texts), names)
+        last = rows(state, None, [], [])
         if last:
             yield pa.RecordBatch.from_arrays(last, names)
 
     return docs.mapInArrow(run, schema)
 
 
-def _classes(state: dict, ids, sets):
-    """The class and size of each row; at the end, the parts of the sketch that stand out."""
+CLASSES = "doc_id long, class long, fp long, odd0 long, odd1 long, bits binary, bucket long, seen long"
+
+
+def _classes(state: dict, ids, sets, texts):
+    """The class, fingerprint and parities of each row; at the end, the parts of the sketch that stand out."""
     counts = state.setdefault("counts", np.zeros(1 << SKETCH, np.int64))
     if ids is not None:
         for marks in sets:
             np.add.at(counts, (marks >> np.uint64(64 - SKETCH)).astype(np.int64), 1)
         none = pa.nulls(len(sets), pa.int64())
-        return [ids, pa.array([_digest(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary()), none, none]
+        odd = np.frombuffer(b"".join(bitmap(x, SHORT) for x in sets), np.int64).reshape(-1, 1 + SHORT // 64)
+        prints = pa.array([simhash(t, PRINT_WORDS) for t in texts], pa.int64())
+        return [ids, pa.array([_digest(x) for x in sets], pa.int64()), prints, pa.array(odd[:, 1]), pa.array(odd[:, 2]), pa.array([bitmap(x) for x in sets], pa.binary()), none, none]
     mean = counts.mean()
     high = np.flatnonzero(counts > mean + 6 * np.sqrt(mean) + 8)
     none = pa.nulls(len(high), pa.int64())
-    return [none, none, pa.nulls(len(high), pa.binary()), pa.array(high, pa.int64()), pa.array(counts[high], pa.int64())]
+    return [none, none, none, none, none, pa.nulls(len(high), pa.binary()), pa.array(high, pa.int64()), pa.array(counts[high], pa.int64())]
 
 
 def _first_ones(order: np.ndarray):
-    """The shingles of each row's set that are joined."""
+    """The shingles of each row's set that are joined, and the place of each in the order of the whole set."""
 
-    def rows(_, ids, sets):
+    def rows(_, ids, sets, texts):
         if ids is None:
             return None
         out = []
@@ -115,12 +124,13 @@ def _first_ones(order: np.ndarray):
         sizes = np.array([len(x) for x in out], np.int64)
         own = np.repeat(np.array([_digest(x) for x in sets], np.int64), sizes)
         whole = np.repeat(np.array([len(x) for x in sets], np.int32), sizes)
-        return [pa.array(np.concatenate([*out, np.empty(0, np.uint64)]).view(np.int64)), pa.array(own), pa.array(whole)]
+        at = np.concatenate([*map(np.arange, sizes), np.empty(0, np.int64)]).astype(np.int32)
+        return [pa.array(np.concatenate([*out, np.empty(0, np.uint64)]).view(np.int64)), pa.array(own), pa.array(whole), pa.array(at)]
 
     return rows
 
 
-def _sets(_, ids, sets):
+def _sets(_, ids, sets, texts):
     if ids is None:
         return None
     return [pa.array([_digest(x) for x in sets], pa.int64()), pa.array([bitmap(x, WIDE) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
@@ -168,6 +178,49 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
     return materialize(both.mapInArrow(run, "a long, b long"))
 
 
+def _print_links(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes whose fingerprints are equal or linked by the trie join, as many as connect them."""
+    prints = materialize(classes.groupBy("fp").agg(F.min("class").alias("one")))
+    same = classes.join(prints, "fp").filter("class <> one").select(F.col("class").alias("a"), F.col("one").alias("b"))
+    forest = link_forest(prints.select("fp"), BUDGET)
+    ends = forest.join(prints.toDF("a", "one_a"), "a").join(prints.toDF("b", "one_b"), "b").select(F.col("one_a").alias("a"), F.col("one_b").alias("b"))
+    return materialize(same.unionByName(ends).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
+def _may_link(n: Column, at: Column, m: Column, other_at: Column) -> Column:
+    """Whether sets of n and m shingles can be similar if the first that they share has these places: what they share lies from there on."""
+    least = (n + m) * 4
+    return ((n - at) * 9 >= least) & ((m - other_at) * 9 >= least)
+
+
+def _turned(bits: int) -> Column:
+    return F.shiftleft("fp", bits).bitwiseOR(F.shiftrightunsigned("fp", BITS - bits)) if bits else F.col("fp")
+
+
+def _neighbours(placed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share a shingle and follow one another in the order of their fingerprints."""
+    alike = Window.partitionBy("shingle")
+    row = placed.withColumn("mixed", F.min("root").over(alike) < F.max("root").over(alike)).filter("mixed")
+    before = [F.lag(F.struct("class", "n", "at", "root")).over(alike.orderBy(_turned(t), "class")) for t in TURNS]
+    met = row.select("class", "n", "at", "root", F.array(*before).alias("others")).withColumn("other", F.explode("others"))
+    met = met.filter("other IS NOT NULL AND other.root <> root")
+    met = met.filter(_may_link(F.col("n"), F.col("at"), F.col("other.n"), F.col("other.at")))
+    return materialize(met.select(F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")).distinct())
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """All pairs (a, b) of classes in different components that share a shingle and may be similar."""
+    groups = placed.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("shingle")
+    groups = materialize(groups.agg(F.max(F.struct("size", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("shingle", "main"))
+    apart = materialize(placed.join(groups, "shingle"))
+    rest = apart.filter("root <> main").select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("class", "n", "at", "root", "odd0", "odd1")])
+    odd = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("odd0", "odd1")), F.lit(0))
+    once = (F.col("root") == F.col("main")) | (F.col("class") < F.col("other_class"))  # two of the rest would meet twice
+    fits = _may_link(F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at")) & (odd * 9 <= F.col("n") + F.col("other_n"))
+    pairs = apart.join(rest, "shingle").filter((F.col("root") != F.col("other_root")) & once & fits)
+    return pairs.select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id (smallest doc_id reachable) of every row that has an id.
 
@@ -175,43 +228,35 @@ def near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_co
     returned. An empty table gives an empty result. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
-    marked = materialize(_mapped(docs, words, _classes, "doc_id long, class long, bits binary, bucket long, seen long"))
+    marked = materialize(_mapped(docs, words, _classes, CLASSES))
     order = np.zeros(1 << SKETCH, np.uint8)
     for r in marked.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("seen").alias("seen")).toLocalIterator():
         order[r.bucket] = r.seen.bit_length()
-    classes = materialize(marked.filter("doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), F.first("bits").alias("bits")))
+    one = [F.min("fp").alias("fp"), *[F.first(c).alias(c) for c in ("odd0", "odd1", "bits")]]
+    classes = materialize(marked.filter("doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), *one))
     marked = marked.filter("doc_id IS NOT NULL").select("doc_id", "class")
 
-    joined = _mapped(docs, words, _first_ones(order), "shingle long, class long, n int")
-    turn = F.xxhash64("class", F.pmod("shingle", F.lit(STARS)))
-    along = Window.partitionBy("shingle").orderBy("turn", "class")
-    shared = joined.withColumn("turn", turn).select(
-        "shingle", "class", "n", F.first(F.struct("class", "n")).over(along).alias("star"), F.lag("class").over(along).alias("before"), F.lead("class").over(along).alias("after")
-    )
-    shared = shared.filter("(before IS NULL OR before <> class) AND (star.class <> class OR after <> class)")
-    # the first row of a class stands for it; a shingle of one class alone is left out, or has no pair
-    shared = materialize(shared.select("shingle", "class", "n", "star"))
-
-    def fits(x: str, y: str):
-        return F.col(x) * 5 >= F.col(y) * 4, F.col(y) * 5 >= F.col(x) * 4
+    printed = _print_links(classes)
+    links = _verified(printed, docs, classes, words)
 
-    longer, shorter = fits("n", "star.n")
-    first = shared.filter(F.col("star.class") != F.col("class")).filter(longer & shorter)
-    first = materialize(first.select(F.least("class", "star.class").alias("a"), F.greatest("class", "star.class").alias("b")).distinct())
-    links = _verified(first, docs, classes, words)
-    reached = components(links)
-
-    placed = shared.select("shingle", "class", "n").join(reached, F.col("class") == F.col("node"), "left")
-    placed = materialize(placed.select("shingle", "class", "n", F.coalesce("root", "class").alias("root")))
-    groups = placed.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("shingle")
-    groups = materialize(groups.agg(F.max(F.struct("size", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("shingle", "main"))
-    apart = materialize(placed.join(groups, "shingle"))
-    rest = apart.filter("root <> main").select("shingle", F.col("class").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
-    longer, shorter = fits("n", "m")
-    second = apart.join(rest, "shingle").filter((F.col("root") != F.col("other_root")) & longer & shorter)
-    second = second.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
-    second = materialize(second.join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(second, docs, classes, words))
+    joined = _mapped(docs, words, _first_ones(order), "shingle long, class long, n int, at int")
+    along = Window.partitionBy("shingle")
+    shared = joined.select(
+        "shingle", "class", "n", "at", F.lag("class").over(along.orderBy("class")).alias("before"), F.min("class").over(along).alias("low"), F.max("class").over(along).alias("high")
+    )
+    # the first row of a class stands for it; a shingle of one class alone is left out
+    shared = materialize(shared.filter("low < high AND (before IS NULL OR before <> class)").select("shingle", "class", "n", "at"))
+
+    def placed(links: DataFrame, *names: str) -> DataFrame:
+        """The shared shingles with the component and more columns of their classes."""
+        known = classes.select("class", *names).join(components(links), F.col("class") == F.col("node"), "left")
+        return materialize(shared.join(materialize(known.select("class", *names, F.coalesce("root", "class").alias("root"))), "class"))
+
+    met = _neighbours(placed(links, "fp"))
+    links = links.unionByName(_verified(met, docs, classes, words))
+    rest = _apart(placed(links, "odd0", "odd1"))
+    rest = materialize(rest.join(printed.unionByName(met), ["a", "b"], "left_anti"))
+    links = links.unionByName(_verified(rest, docs, classes, words))
 
     rooted = classes.join(components(links), F.col("class") == F.col("node"), "left")
     rooted = materialize(rooted.select("class", "first", F.coalesce("root", "class").alias("root")))

@@ -114,15 +114,19 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, budget: int) -> Iterator[tup
             stack.append((depth + 1, [x[alive] for x in joined]))
 
 
-def _unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Joins the sets of i and j; every parent is a root afterwards."""
+def _unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray, used: list) -> np.ndarray:
+    """Joins the sets of i and j; every parent is a root afterwards. The links that joined two sets are added to ``used``."""
     while True:
         p, q = parent[i], parent[j]
         apart = p != q
         if not apart.any():
             return parent
         i, j = i[apart], j[apart]
-        np.minimum.at(parent, np.maximum(p[apart], q[apart]), np.minimum(p[apart], q[apart]))
+        high, low = np.maximum(p[apart], q[apart]), np.minimum(p[apart], q[apart])
+        np.minimum.at(parent, high, low)
+        joins = np.flatnonzero(parent[high] == low)
+        joins = joins[np.unique(high[joins], return_index=True)[1]]
+        used.append((i[joins], j[joins]))
         while True:
             up = parent[parent]
             if (up == parent).all():
@@ -136,18 +140,18 @@ def _forest(budget: int):
         left = group["left"].to_numpy(bool)
         a, b = np.sort(keys[left]), np.sort(keys[~left])
         both, shift = np.concatenate([a, b]), len(a)
-        parent = np.arange(len(both))
+        parent, used = np.arange(len(both)), [(np.zeros(0, np.int64),) * 2]
         own = bool(group["own"].iloc[0])
         for i, j in trie_links(a, None if own else b, budget):
-            parent = _unite(parent, i, j if own else j + shift)
-        child = np.flatnonzero(parent != np.arange(len(both)))
-        return pd.DataFrame({"a": both[child].view(np.int64), "b": both[parent[child]].view(np.int64)})
+            parent = _unite(parent, i, j if own else j + shift, used)
+        i, j = (np.concatenate(x) for x in zip(*used))
+        return pd.DataFrame({"a": both[i].view(np.int64), "b": both[j].view(np.int64)})
 
     return run
 
 
 def link_forest(classes: DataFrame, budget: int) -> DataFrame:
-    """Links (a, b) that connect exactly what links of ``budget`` bits or fewer connect, of distinct ``fp``."""
+    """Links (a, b) of ``budget`` bits or fewer that connect exactly what all such links connect, of distinct ``fp``."""
     count = classes.count()
     bits = max(MIN_PREFIX, ceil(log2(max(1, count) / SUBTRIE))) if count else MIN_PREFIX
     prefix = F.shiftrightunsigned("fp", BITS - bits)

@@ -292,3 +292,46 @@ def test_bitmaps_rule_out_no_similar_pair():
             other = np.unique(np.concatenate([base[k:], rng.integers(0, 1 << 63, k // 2, dtype=np.uint64)]))
             a, b = (np.frombuffer(near_copies.bitmap(x), np.uint64)[None] for x in (base, other))
             assert near_copies.possible(a, b)[0] or not near_copies.similar(base, other)
+
+
+def test_forest_holds_links_only(spark):
+    """Every pair that the forest returns is a link itself, also where a component is wider than the budget."""
+    rng = np.random.default_rng(4)
+    keys = {0}
+    while len(keys) < 600:
+        keys.add(rng.choice(list(keys)) ^ (1 << int(rng.integers(0, 62))) if rng.random() < 0.9 else int(rng.integers(1 << 62)))
+    found = simhash_trie.link_forest(spark.createDataFrame([(int(x),) for x in keys], "fp long"), 3).collect()
+    assert found and all((r.a ^ r.b).bit_count() <= 3 for r in found)
+    assert max((r.node ^ r.root).bit_count() for r in simhash_trie.components(spark.createDataFrame(found)).collect()) > 3
+
+
+def test_near_stage_joins_fingerprints_in_the_trie(spark, monkeypatch):
+    """The stage's first links are those of the trie self-join over the fingerprints of all its rows."""
+    made = spark.createDataFrame(list(enumerate(near_texts())), "doc_id long, text string")
+    joins, tested = [], []
+    join, verify = near_copies.link_forest, near_copies._verified
+
+    def seen(classes, budget):
+        joins.append(({r.fp & (1 << 64) - 1 for r in classes.collect()}, budget))
+        return join(classes, budget)
+
+    def counted(pairs, *more):
+        tested.append((pairs.count(), verify(pairs, *more)))
+        return tested[-1][1]
+
+    monkeypatch.setattr(near_copies, "link_forest", seen)
+    monkeypatch.setattr(near_copies, "_verified", counted)
+    corpus_pipeline.near(spark, made, SF).collect()
+    assert joins == [({brute_fingerprint(r.text) for r in made.collect()}, 3)]
+    assert tested[0][1].count() > 0
+
+
+def test_a_large_group_of_near_copies_meets_in_few_pairs(spark, monkeypatch):
+    """One word of a text changes: nearly all rows are similar, and the pairs that are tested stay near their number."""
+    rng = np.random.default_rng(6)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 150)]
+    texts = [" ".join([*base[:at], f"x{k}", *base[at + 1 :]]) for k, at in enumerate(rng.integers(0, 150, 600).tolist())]
+    made, tested, verify = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *more: (tested.append(pairs.count()), verify(pairs, *more))[1])
+    assert {r.component_id for r in near_copies.near_copies(made).collect()} == {0}
+    assert sum(tested) < 20 * len(texts)
