@@ -144,21 +144,34 @@ def _sifted(pairs: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 1 + bits // 64) for i in (2, 3))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(possible(a, b)))
 
-    both = _attached(_attached(pairs, "a", bitmaps), "b", bitmaps).select("a", "b", "marks_a", "marks_b")
-    return materialize(both.mapInArrow(run, "a long, b long"))
-
-
-def _attached(pairs: DataFrame, key: str, sets: DataFrame) -> DataFrame:
-    """``pairs`` with the set of ``key``; a class in many pairs is dealt out in chunks."""
-    copies = materialize(pairs.groupBy(F.col(key).alias("own")).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("copies")))
-    many = F.broadcast(copies.filter("copies > 1")) if copies.filter("copies > 1").count() <= MOST_BROADCAST_ROWS else copies.filter("copies > 1")
-    dealt = pairs.join(many, F.col(key) == F.col("own"), "left").withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.coalesce("copies", F.lit(1))).cast("int"))
-    spread = sets.join(copies, F.col("class") == F.col("own")).select("class", F.col("marks").alias(f"marks_{key}"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("nth"))
-    return dealt.drop("own", "copies").join(spread, (F.col(key) == F.col("class")) & (F.col("salt") == F.col("nth"))).drop("class", "nth", "salt")
+    return materialize(_attached(pairs, bitmaps).mapInArrow(run, "a long, b long"))
+
+
+def _attached(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the sets of both; a class in many pairs is dealt out in chunks. The joins are by shuffle, as each table
+    sent to all tasks costs the driver memory, and these are many."""
+    copies = F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("copies")
+    often = pairs.select(F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(k).alias("own")) for k in ("a", "b")])).alias("end"))
+    often = materialize(often.groupBy("end.side", "end.own").agg(copies).filter("copies > 1"))
+    if often.isEmpty():
+        for key in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("class").alias(key), F.col("marks").alias(f"marks_{key}")).hint("merge"), key)
+        return pairs.select("a", "b", "marks_a", "marks_b")
+    few = often.count() <= MOST_BROADCAST_ROWS
+    for key in ("a", "b"):
+        many = often.filter(F.col("side") == key).select(F.col("own").alias(key), "copies")
+        pairs = pairs.join(F.broadcast(many) if few else many, key, "left")
+        pairs = pairs.withColumn("nth", F.pmod(F.xxhash64("a", "b"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+        spread = sets.withColumnRenamed("class", key).join(F.broadcast(many) if few else many, key, "left")
+        spread = spread.select(key, F.col("marks").alias(f"marks_{key}"), F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("nth"))
+        pairs = pairs.join(spread.hint("merge"), [key, "nth"]).drop("nth")
+    return pairs.select("a", "b", "marks_a", "marks_b")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar."""
+    if pairs.isEmpty():
+        return pairs
     pairs = _sifted(pairs, classes.select("class", F.col("bits").alias("marks")), BITMAP)
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     ids = materialize(classes.join(needed, "class").select(F.col("first").alias("doc_id")).distinct())
@@ -174,19 +187,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
             keep = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in marks], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
-    both = _attached(_attached(pairs, "a", sets), "b", sets).select("a", "b", "marks_a", "marks_b")
-    return materialize(both.mapInArrow(run, "a long, b long"))
+    return materialize(_attached(pairs, sets.select("class", "marks")).mapInArrow(run, "a long, b long"))
 
 
 def _print_links(classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes whose fingerprints are equal or linked by the trie join, as many as connect them."""
     prints = materialize(classes.groupBy("fp").agg(F.min("class").alias("one")))
-    same = classes.join(prints, "fp").filter("class <> one").select(F.col("class").alias("a"), F.col("one").alias("b"))
+    same = classes.join(prints.hint("merge"), "fp").filter("class <> one").select(F.col("class").alias("a"), F.col("one").alias("b"))
     forest = link_forest(prints.select("fp"), BUDGET)
-    ends = forest.join(prints.toDF("a", "one_a"), "a").join(prints.toDF("b", "one_b"), "b").select(F.col("one_a").alias("a"), F.col("one_b").alias("b"))
+    ends = forest.join(prints.toDF("a", "one_a").hint("merge"), "a").join(prints.toDF("b", "one_b").hint("merge"), "b").select(F.col("one_a").alias("a"), F.col("one_b").alias("b"))
     return materialize(same.unionByName(ends).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
+def _extended(stars: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, root as of :func:`components`, for the links that ``stars`` came from and ``links``; a known component enters as its star."""
+    if stars is None:
+        return materialize(components(links))
+    return stars if links.isEmpty() else materialize(components(links.unionByName(stars.toDF("a", "b"))))
+
+
 def _may_link(n: Column, at: Column, m: Column, other_at: Column) -> Column:
     """Whether sets of n and m shingles can be similar if the first that they share has these places: what they share lies from there on."""
     least = (n + m) * 4
@@ -247,18 +266,19 @@ def near_copies(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_co
     # the first row of a class stands for it; a shingle of one class alone is left out
     shared = materialize(shared.filter("low < high AND (before IS NULL OR before <> class)").select("shingle", "class", "n", "at"))
 
-    def placed(links: DataFrame, *names: str) -> DataFrame:
+    def placed(stars: DataFrame, *names: str) -> DataFrame:
         """The shared shingles with the component and more columns of their classes."""
-        known = classes.select("class", *names).join(components(links), F.col("class") == F.col("node"), "left")
+        known = classes.select("class", *names).join(stars.hint("merge"), F.col("class") == F.col("node"), "left")
         return materialize(shared.join(materialize(known.select("class", *names, F.coalesce("root", "class").alias("root"))), "class"))
 
-    met = _neighbours(placed(links, "fp"))
-    links = links.unionByName(_verified(met, docs, classes, words))
-    rest = _apart(placed(links, "odd0", "odd1"))
+    stars = _extended(None, links)
+    met = _neighbours(placed(stars, "fp"))
+    stars = _extended(stars, _verified(met, docs, classes, words))
+    rest = _apart(placed(stars, "odd0", "odd1"))
     rest = materialize(rest.join(printed.unionByName(met), ["a", "b"], "left_anti"))
-    links = links.unionByName(_verified(rest, docs, classes, words))
+    stars = _extended(stars, _verified(rest, docs, classes, words))
 
-    rooted = classes.join(components(links), F.col("class") == F.col("node"), "left")
+    rooted = classes.join(stars.hint("merge"), F.col("class") == F.col("node"), "left")
     rooted = materialize(rooted.select("class", "first", F.coalesce("root", "class").alias("root")))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return marked.join(materialize(rooted.join(smallest, "root").select("class", "component_id")), "class").select("doc_id", "component_id")

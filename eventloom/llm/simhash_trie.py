@@ -168,7 +168,8 @@ def link_forest(classes: DataFrame, budget: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node of each component, for all nodes of ``edges`` (a, b).
 
-    Rounds of large star and small star; each is a table of its own, so a lost executor costs a re-read.
+    Rounds of large star and small star; each is a table of its own, so a lost executor costs a re-read. They join by
+    shuffle: there are many, and each table sent to all tasks costs the driver a thread and memory.
     """
     ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     ends = materialize(ends)
@@ -180,10 +181,10 @@ def components(edges: DataFrame) -> DataFrame:
     while now[0]:
         both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        small = large.join(least.hint("merge"), "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         ends = materialize(small)
         before, now = now, state(ends)

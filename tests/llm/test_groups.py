@@ -335,3 +335,18 @@ def test_a_large_group_of_near_copies_meets_in_few_pairs(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "_verified", lambda pairs, *more: (tested.append(pairs.count()), verify(pairs, *more))[1])
     assert {r.component_id for r in near_copies.near_copies(made).collect()} == {0}
     assert sum(tested) < 20 * len(texts)
+
+
+def test_near_stage_sends_few_tables_through_the_driver(spark, monkeypatch, capsys):
+    """Its many small joins are by shuffle, and known components are extended, not found anew; both cost the driver memory."""
+    made, write, plans = spark.createDataFrame(list(enumerate(near_texts())), "doc_id long, text string"), near_copies.materialize, []
+
+    def seen(df):
+        df.explain("simple")
+        plans.append(capsys.readouterr().out)
+        return write(df)
+
+    monkeypatch.setattr(near_copies, "materialize", seen)
+    monkeypatch.setattr(simhash_trie, "materialize", seen)
+    near_copies.near_copies(made).count()
+    assert sum(p.count("BroadcastExchange") for p in plans) <= 20
