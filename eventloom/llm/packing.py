@@ -20,6 +20,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def encoder(path: str, end_id: int):
     """A function from texts to token ids (little-endian bytes, as wide as :func:`id_type` says), ``end_id`` last.
 
     The tokenizer encodes word by word and white space parts words, so each distinct run without white space is
-    put together once, from words that are encoded once. New words are encoded side by side in one text, and its ids
+    put together once, from words that are encoded once; texts are split and their ids laid out as Arrow columns. New words are encoded side by side in one text, and its ids
     are told apart by the tokens that end a word. Texts with characters beyond Latin letters, texts that hold one of the
     tokenizer's added tokens, and tokenizers that do not end each word so, take the tokenizer's own way."""
     (model, ends), known = _tokenizer(path), _Known()
@@ -97,17 +98,28 @@ def encoder(path: str, end_id: int):
             known.learn(dict(zip(group, parts)))
 
     def encode(texts: list[str]) -> list[bytes]:
-        split = {i: t.lower().split() for i, t in enumerate(texts) if plain(t)}
-        met = set().union(*split.values()) if split else set()
+        own = [i for i, t in enumerate(texts) if plain(t)]
+        split = pc.utf8_split_whitespace(pa.array([texts[i].lower() for i in own], pa.string()))
+        words = split.values.dictionary_encode()  # each distinct word of the batch becomes a Python string once
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         known.make_room()
-        new = met - known.keys()
+        found = list(map(known.get, distinct))
+        places = [i for i, x in enumerate(found) if x is None]
+        new = {distinct[i] for i in places}
         mixed = {c: SPLIT.findall(c) for c in new if not c.isalpha()}
-        learn(list(new.difference(mixed).union(*mixed.values()) - known.keys()))
+        learn([c for c in new.difference(mixed).union(*mixed.values()) if c not in known])
         get = known.__getitem__
         known.learn({c: b"".join(map(get, p)) for c, p in mixed.items()})
-        others = [i for i in range(len(texts)) if i not in split]
-        own = dict(zip(others, model.encode_batch([texts[i] for i in others], add_special_tokens=False))) if others else {}
-        return [(b"".join(map(get, split[i])) if i in split else np.array(own[i].ids, kind).tobytes()) + last for i in range(len(texts))]
+        for i in places:
+            found[i] = get(distinct[i])
+        ids = pa.array(found, pa.large_binary()).take(words.indices)
+        data = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        stops = np.frombuffer(ids.buffers()[1], np.int64)[split.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(own) + 1)
+        out = dict(zip(own, (data[a:b] + last for a, b in zip(stops, stops[1:]))))
+        others = [i for i in range(len(texts)) if i not in out]
+        whole = model.encode_batch([texts[i] for i in others], add_special_tokens=False) if others else []
+        out.update((i, np.array(x.ids, kind).tobytes() + last) for i, x in zip(others, whole))
+        return [out[i] for i in range(len(texts))]
 
     return encode
 

@@ -276,3 +276,18 @@ def test_segmentations_round_trip(spark, awkward, nothing):
     repeated = [bytes(r.ids) for r in sampled if r.doc_id == 3 and r.sample == 1]
     assert len(repeated) == 2 and len(set(repeated)) == 1
     assert gumbel_pieces.encode_samples(nothing, path).count() == 0
+
+
+def test_encoder_looks_up_a_batch_and_never_goes_through_all_known_words(monkeypatch):
+    class Known(packing._Known):
+        def keys(self):
+            raise AssertionError("all known words")
+
+        __iter__ = items = values = keys
+
+    monkeypatch.setattr(packing, "_Known", Known)
+    path = packing.tokenizer_path()
+    encode, (model, _), kind = packing.encoder(path, 2), packing._tokenizer(path), packing.id_type(path, 2)
+    for batch in ([" two\xa0words, twice two\n", "", "日本 x", "İx it's ½"], [], [""], ["twice x²y", "don't  _do_ two "]):
+        want = [np.array([*x.ids, 2], kind).tobytes() for x in model.encode_batch(batch, add_special_tokens=False)]
+        assert encode(batch) == want
