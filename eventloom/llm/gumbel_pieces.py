@@ -31,17 +31,19 @@ from eventloom.llm.common import table
 SAMPLES, SEED = 3, 42
 SPACE = "▁"
 TAIL = ".,!?;:\n"
-BATCH_DOCS, BATCH_CHARS = 512, 1 << 21  # texts that are worked on at once
+BATCH_DOCS, BATCH_CHARS = 192, 1 << 21  # texts that are worked on at once: larger batches repeat fewer words, but leave the processor's caches
+LOW = 1024  # characters below it are looked up in a square table
 _MIX, _ONE = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)), np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """splitmix64, a public mixing function."""
-    with np.errstate(over="ignore"):
-        x = (x + _ONE).astype(np.uint64)
-        x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-        x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-        return x ^ (x >> np.uint64(31))
+    x = x + _ONE
+    for shift, factor in zip((30, 27), _MIX):
+        x ^= x >> np.uint64(shift)
+        x *= factor
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _streams(keys: np.ndarray, stream: int) -> np.ndarray:
@@ -51,8 +53,10 @@ def _streams(keys: np.ndarray, stream: int) -> np.ndarray:
 
 def _uniform(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     """In (0, 1), by key and place."""
-    bits = _mixed(keys + places.astype(np.uint64))
-    return ((bits >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+    u = (_mixed(keys + places.astype(np.uint64, copy=False)) >> np.uint64(12)).astype(np.float64)
+    u += 0.5
+    u /= 2.0**52
+    return u
 
 
 class Vocabulary:
@@ -64,6 +68,7 @@ class Vocabulary:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.unchanged = _keeps_text(path)
         count = self.model.get_piece_size()
         names = [self.model.id_to_piece(i) for i in range(count)]
         plain = [i for i in range(count) if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i) or self.model.is_unused(i))]
@@ -71,6 +76,8 @@ class Vocabulary:
         score = (lambda i: -math.log(2 + rank[i])) if scores == "zipf" else self.model.get_score
         self.scores = np.array([score(i) / temperature if i in rank else 0.0 for i in range(count)])
         self.spelled = float(min(self.scores, default=0.0)) - 1.0  # of a character in bytes
+        # Products over so many characters stay far from the least and largest doubles.
+        self.depth = int(600 / max(1e-9, abs(self.spelled), *np.abs(self.scores[plain])))
         self.bytes = np.full(256, self.model.unk_id())
         for i in range(count):
             if self.model.is_byte(i):
@@ -93,6 +100,10 @@ class Vocabulary:
                 raise ValueError("two beginnings of pieces have one hash")
             self.tables.append(_Table(marks[order], np.fromiter(starts[n].values(), np.int64)[order]))
         self.neighbours = np.array(sorted({ord(a) << 21 | ord(b) for p in known for a, b in zip(p, p[1:])}), np.int64)
+        self.close = np.zeros((LOW, LOW), bool)  # the same for characters below LOW
+        first, second = self.neighbours >> 21, self.neighbours & (1 << 21) - 1
+        low = (first < LOW) & (second < LOW)
+        self.close[first[low], second[low]] = True
 
         # Where pieces never cross: before a space, and before marks that no piece has after a letter or digit.
         crossed = {b for p in known for a, b in zip(p, p[1:]) if b in TAIL and re.match(r"\w", a)}
@@ -102,13 +113,27 @@ class Vocabulary:
         first = f"{SPACE}*\\w+(?=[{re.escape(tail)}])|" if tail else ""
         self.split = re.compile(f"{first}{SPACE}*[^{SPACE}]+|{SPACE}+")
 
+    def adjacent(self, codes: np.ndarray) -> np.ndarray:
+        """Whether each character and the next are neighbours in some piece."""
+        first, second = codes[:-1], codes[1:]
+        out = self.close[np.minimum(first, LOW - 1), np.minimum(second, LOW - 1)]
+        high = np.flatnonzero((first >= LOW - 1) | (second >= LOW - 1))
+        out[high] = _isin(first[high] << 21 | second[high], self.neighbours)
+        return out
+
     def chunks(self, text: str) -> list[str]:
-        return self.split.findall(self.model.normalize(text)) if text else []
+        if not text:
+            return []
+        return self.split.findall(SPACE + text.replace(" ", SPACE) if self.unchanged else self.model.normalize(text))
 
-    def spells(self, ids, text: bytes) -> bool:
-        """Whether a sequence of ids decodes to ``text`` (UTF-8)."""
-        data = b"".join(map(self.decoded.__getitem__, ids))
-        return data[1 if data[:1] == b" " else 0 :] == text
+    def spell(self, found: list[np.ndarray], texts: list[bytes]) -> list[bool]:
+        """Whether each sequence of ids decodes to its text (UTF-8)."""
+        if not found:
+            return []
+        data = pa.array(self.decoded, pa.large_binary()).take(pa.array(np.concatenate(found)))
+        stops = np.frombuffer(data.buffers()[1], np.int64)[np.cumsum([0, *map(len, found)])].tolist()
+        whole = data.buffers()[2].to_pybytes() if len(data) else b""
+        return [whole[a + (whole[a : a + 1] == b" " and a < b) : b] == text for a, b, text in zip(stops, stops[1:], texts)]
 
     def text(self, ids) -> str:
         """The text of a sequence of ids, without the space that encoding puts first."""
@@ -116,6 +141,17 @@ class Vocabulary:
         return data.decode("utf-8", "replace")[1 if data[:1] == b" " else 0 :]
 
 
+def _keeps_text(path: str) -> bool:
+    """Whether the model's normalisation only puts a space first and writes spaces as SPACE."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    n = model.normalizer_spec
+    return n.name == "identity" and not n.precompiled_charsmap and n.add_dummy_prefix and n.escape_whitespaces and not (n.remove_extra_whitespaces or model.trainer_spec.treat_whitespace_as_suffix)
+
+
 class _Table:
     """Sorted hashes with the piece of each; the leading bits of a hash tell where to start looking."""
 
@@ -142,8 +178,10 @@ def vocabulary_of(path: str, scores: str, temperature: float) -> Vocabulary:
 
 
 def _rolled(marks: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (marks + codes + np.uint64(1)) * _MIX[0]
+    out = marks + codes
+    out += np.uint64(1)
+    out *= _MIX[0]
+    return out
 
 
 def _isin(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -154,13 +192,13 @@ def _isin(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 class Lattices:
     """The lattices of some distinct words in flat arrays: a node per character, and one before each further byte of
-    a spelled character. A node's edges lie together, and ``cumulated`` holds node number + cumulated probability,
-    so one binary search draws an edge for many nodes."""
+    a spelled character. A word's first node is in ``first``. A node's edges lie together, and ``cumulated`` holds node
+    number + cumulated probability (no bound at a node's last edge), so edges are drawn for many nodes at once."""
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
         v = vocabulary
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.first = dict(zip(words, (np.cumsum(lengths) - lengths).tolist()))
+        self.first = np.cumsum(lengths) - lengths
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         n = len(codes)
         end = np.repeat(np.cumsum(lengths), lengths)  # of the word
@@ -178,12 +216,12 @@ class Lattices:
         to = np.where(to == end[begin], -1, to) if n else to
         place = (np.arange(n) - (end - np.repeat(lengths, lengths))) * 4
         begin, to, piece, log, place = self._spelled(v, codes, begin, to, piece, log, place)
-        self.to, self.piece, self.log, self.place = to, piece, log, place
+        self.to, self.piece, self.log, self.place = to, piece, log, np.asarray(place, np.int64).view(np.uint64)
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(begin, minlength=len(place)))]).astype(np.int64)
         total = np.concatenate([[0.0], np.cumsum(np.exp(self.log))])
         self.cumulated = np.minimum(total[1:] - total[self.begin[begin]], 1.0) + begin
         if n:
-            self.cumulated[self.begin[1:] - 1] = np.arange(len(place)) + 1.0
+            self.cumulated[self.begin[1:] - 1] = np.inf
 
     @staticmethod
     def _edges(v: Vocabulary, codes: np.ndarray, end: np.ndarray):
@@ -194,7 +232,7 @@ class Lattices:
             at, marks = at[inside], marks[inside]
             if not len(at):
                 break
-            marks = _rolled(marks, codes[at + n - 1].astype(np.uint64))
+            marks = _rolled(marks, codes.view(np.uint64)[at + n - 1])
             place = table.find(marks)
             alive = place >= 0
             at, marks, own = at[alive], marks[alive], table.ids[place[alive]]
@@ -202,36 +240,54 @@ class Lattices:
             found.append((at[whole], at[whole] + n, own[whole]))
         if not found:
             return (np.zeros(0, np.int64),) * 3
-        return tuple(np.concatenate(x) for x in zip(*found))
+        return tuple(np.concatenate(x) for x in zip(*reversed(found)))  # long pieces are the likelier ones
 
     @staticmethod
     def _conditional(v: Vocabulary, codes, end, begin, to, score) -> np.ndarray:
         """Log of each edge's probability given its node. No piece spans two characters that are neighbours in no piece,
-        so sums over completions start anew there; nodes equally far from such a cut are summed at once."""
+        so sums over completions start anew there; nodes equally far from such a cut are summed at once: as plain
+        numbers near the cut, as logs further off."""
         n = len(codes)
         if not n:
             return np.zeros(0)
         cut = np.ones(n + 1, bool)  # before this character
-        cut[1:n] = (end[:-1] == np.arange(1, n)) | ~_isin(codes[:-1] << 21 | codes[1:], v.neighbours)
+        cut[1:n] = (end[:-1] == np.arange(1, n)) | ~v.adjacent(codes)
         cuts = np.flatnonzero(cut)
-        to_cut = cuts[np.searchsorted(cuts, np.arange(n), side="right")]
-        level = to_cut[begin] - begin
+        to_cut = cuts[np.cumsum(cut[:n])] - np.arange(n)
+        level = to_cut[begin]
         order = np.argsort(level.astype(np.int16) if len(level) and level.max() < 1 << 15 else level, kind="stable")
         ordered, sizes = begin[order], np.bincount(level)
-        stops, after = np.cumsum(sizes), np.zeros(n + 1)
-        log = np.zeros(len(begin))
-        for size, stop in zip(sizes.tolist(), stops.tolist()):
-            if not size:
-                continue
-            own = order[stop - size : stop]
-            node = ordered[stop - size : stop]
-            value = score[own] + np.where(cut[to[own]], 0.0, after[to[own]])
+        stops, log = np.cumsum(sizes), np.empty(len(begin))
+        near = int(stops[min(v.depth, len(stops) - 1)])
+        weight, share = np.exp(score[order[:near]]), np.empty(near)
+        after = np.ones(n + 1)  # one at a cut
+
+        def level_of(size: int, stop: int):
+            own, node = order[stop - size : stop], ordered[stop - size : stop]
             heads = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-            count = np.diff(np.append(heads, size))
+            return slice(stop - size, stop), own, node[heads], heads, np.diff(np.append(heads, size))
+
+        levels = [x for x in zip(sizes.tolist(), stops.tolist()) if x[0]]
+        for size, stop in levels:
+            if stop > near:
+                break
+            at, own, node, heads, count = level_of(size, stop)
+            value = weight[at]
+            value *= after[to[own]]
+            sums = np.add.reduceat(value, heads)
+            after[node] = np.where(cut[node], 1.0, sums)
+            np.divide(value, np.repeat(sums, count), out=share[at])
+        log[order[:near]] = np.log(share, out=share)
+        after = np.log(after)
+        for size, stop in levels:
+            if stop <= near:
+                continue
+            _, own, node, heads, count = level_of(size, stop)
+            value = score[own] + after[to[own]]
             top = np.maximum.reduceat(value, heads)
             sums = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count)), heads))
-            after[node[heads]] = sums
-            log[own] = np.where(np.repeat(count, count) == 1, 0.0, np.minimum(value - np.repeat(sums, count), 0.0))
+            after[node] = np.where(cut[node], 0.0, sums)
+            log[own] = np.minimum(value - np.repeat(sums, count), 0.0)
         return log
 
     @staticmethod
@@ -259,28 +315,35 @@ class Lattices:
 
     def _drawn(self, nodes: np.ndarray, goal: np.ndarray) -> np.ndarray:
         """The first edge of each node whose cumulated value passes ``goal``; nodes have few edges, so they are tried in turn."""
-        edge, last = self.begin[nodes], self.begin[nodes + 1] - 1
-        on = np.flatnonzero((self.cumulated[edge] <= goal) & (edge < last))
+        edge = self.begin[nodes]
+        on = np.flatnonzero(self.cumulated[edge] <= goal)
+        at, goal = edge[on], goal[on]
         while len(on):
-            edge[on] += 1
-            on = on[(self.cumulated[edge[on]] <= goal[on]) & (edge[on] < last[on])]
+            at += 1
+            more = self.cumulated[at] <= goal
+            found = ~more
+            edge[on[found]] = at[found]
+            on, at, goal = on[more], at[more], goal[more]
         return edge
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """From each start node to the word's end: (start's index, node, edge) in path order. ``words`` numbers the
         words within a text and tells equal words' random numbers apart."""
-        index, parts, seeds = np.arange(len(nodes)), [], _mixed(keys + words.astype(np.uint64))
+        index, parts, steps = np.arange(len(nodes)), [], np.zeros(len(nodes), np.int64)
+        seeds = _mixed(keys + words.astype(np.uint64))
         while len(index):
-            u = _uniform(seeds[index], self.place[nodes])
-            edge = self._drawn(nodes, nodes + u)
+            edge = self._drawn(nodes, nodes + _uniform(seeds, self.place[nodes]))
             parts.append((index, nodes, edge))
-            on = self.to[edge] >= 0
-            index, nodes = index[on], self.to[edge[on]]
-        if not parts:
-            return (np.zeros(0, np.int64),) * 3
-        index, node, edge = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(index, kind="stable")
-        return index[order], node[order], edge[order]
+            steps[index] = len(parts)
+            to = self.to[edge]
+            on = np.flatnonzero(to >= 0)
+            index, nodes, seeds = index[on], to[on], seeds[on]
+        starts = np.cumsum(steps) - steps
+        node, edge = np.empty((2, int(steps.sum())), np.int64)
+        for step, (index, nodes, edges) in enumerate(parts):
+            at = starts[index] + step
+            node[at], edge[at] = nodes, edges
+        return np.repeat(np.arange(len(steps)), steps), node, edge
 
 
 def _cut_off(location: np.ndarray, bound, u: np.ndarray) -> np.ndarray:
@@ -298,9 +361,9 @@ def _rest(log: np.ndarray) -> np.ndarray:
 
 class _Path:
     """A drawn segmentation: word number, node and edge of each step, and the open sets beside it from step ``split``
-    on; those before belong to the path that it left. ``log`` is the log-probability of the steps before."""
+    on, ``top`` being the largest; those before belong to the path that it left. ``log`` is the log-probability of the steps before."""
 
-    __slots__ = ("word", "node", "edge", "value", "open", "taken", "split", "log")
+    __slots__ = ("word", "node", "edge", "value", "open", "top", "taken", "split", "log")
 
     def __init__(self, word, node, edge, value, split, taken, log):
         self.word, self.node, self.edge, self.value, self.split, self.taken, self.log = word, node, edge, value, split, taken, log
@@ -309,9 +372,10 @@ class _Path:
 def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to k distinct segmentations: ids, log-probability, perturbed value, log of the inclusion
     probability given the value that was left out first."""
-    lattices = Lattices(vocabulary, list(dict.fromkeys(chain.from_iterable(texts))))
+    words = pa.array(list(chain.from_iterable(texts)), pa.string()).dictionary_encode()
+    lattices = Lattices(vocabulary, words.dictionary.to_numpy(zero_copy_only=False).tolist())
     count = np.array([len(w) for w in texts], np.int64)
-    starts = np.fromiter(map(lattices.first.__getitem__, chain.from_iterable(texts)), np.int64, int(count.sum()))
+    starts = lattices.first[words.indices.to_numpy()]
     offset = np.concatenate([[0], np.cumsum(count)])
     number = np.arange(len(starts)) - np.repeat(offset[:-1], count)
     value = -np.log(-np.log(_uniform(_streams(keys, 0), np.zeros(len(keys)))))
@@ -336,6 +400,7 @@ def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k:
         values = _cut_off(location, np.repeat([p.value for p in paths], sizes), u)
         for p, start, stop in zip(paths, (stops - sizes).tolist(), stops.tolist()):
             p.open = values[start:stop]
+            p.top = float(p.open.max(initial=-np.inf))
 
     index, node, edge = lattices.walk(starts, np.repeat(_streams(keys, 1), count), number)
     bounds = np.searchsorted(index, offset)
@@ -345,32 +410,35 @@ def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k:
     if texts:
         opened([paths[0] for paths in found], keys, 2)
     for s in range(1, k):
-        chosen, nodes, words, heads = [], [], [], []
+        taken = []
         for d, paths in enumerate(found):
             if len(paths) < s or not count[d]:
                 continue
-            best = max(paths, key=lambda p: p.open.max(initial=-np.inf))
-            if np.isneginf(best.open.max(initial=-np.inf)):
+            best = max(paths, key=lambda p: p.top)
+            if np.isneginf(best.top):
                 continue
-            t = int(best.open.argmax())
-            top, best.open[t] = float(best.open[t]), -np.inf
+            t, top = int(best.open.argmax()), best.top
+            best.open[t] = -np.inf
+            best.top = float(best.open.max())
+            taken.append((d, best, t, top))
+        if not taken:
+            break
+        chosen, nodes, words, heads = [x[0] for x in taken], [], [], []
+        draws = _uniform(_streams(keys[chosen], 3 * s), np.array([best.split + t for _, best, t, _ in taken]))
+        for (d, best, t, top), u in zip(taken, draws.tolist()):
             used = best.taken if t == 0 and best.taken else (int(best.edge[best.split + t]),)
             before = best.log + float(lattices.log[best.edge[best.split : best.split + t]].sum())
             t += best.split
             at = best.node[t]
             free = np.array([e for e in range(lattices.begin[at], lattices.begin[at + 1]) if e not in used])
             weight = np.cumsum(np.exp(lattices.log[free]))
-            u = float(_uniform(_streams(keys[d : d + 1], 3 * s), np.array([t]))[0])
             e = int(free[min(np.searchsorted(weight, u * weight[-1], side="right"), len(free) - 1)])
             word = int(best.word[t])
             go = ([lattices.to[e]] if lattices.to[e] >= 0 else [])
             rest = starts[offset[d] + word + 1 : offset[d + 1]]
             nodes.append(np.concatenate([go, rest]).astype(np.int64))
             words.append(np.concatenate([[word] * len(go), np.arange(word + 1, count[d])]).astype(np.int64))
-            chosen.append(d)
             heads.append((best, t, e, top, (*used, e), before))
-        if not chosen:
-            break
         sizes, place = np.array([len(n) for n in nodes]), np.concatenate(words)
         index, node, edge = lattices.walk(np.concatenate(nodes), np.repeat(_streams(keys[chosen], 3 * s + 1), sizes), place)
         bounds = np.searchsorted(index, np.concatenate([[0], np.cumsum(sizes)]))
@@ -384,7 +452,7 @@ def sample(vocabulary: Vocabulary, texts: list[list[str]], keys: np.ndarray, k:
         opened([found[d][s] for d in chosen], keys[chosen], 3 * s + 2)
     out = []
     for d, paths in enumerate(found):
-        left_out = max((float(p.open.max(initial=-np.inf)) for p in paths), default=-np.inf)
+        left_out = max((p.top for p in paths), default=-np.inf)
         rows = []
         for p in paths:
             log = float(lattices.log[p.edge].sum())
@@ -413,12 +481,13 @@ def encode_samples(docs: DataFrame, path: str, k: int = SAMPLES, seed: int = SEE
 
         def flush(ids: list, whole: list, texts: list, keys: list) -> pa.RecordBatch:
             columns: list[list] = [[] for _ in schema]
-            for doc_id, text, rows in zip(ids, whole, sample(vocabulary, texts, np.array(keys, np.int64).view(np.uint64), k)):
-                text = text.encode("utf-8", "surrogatepass")
+            found = sample(vocabulary, texts, np.array(keys, np.int64).view(np.uint64), k)
+            for doc_id, rows in zip(ids, found):
                 for s, (pieces, log, value, inclusion) in enumerate(rows):
-                    same = vocabulary.spells(pieces.tolist(), text)
-                    for column, x in zip(columns, (doc_id, s, pieces.tobytes(), len(pieces), log, value, inclusion, same)):
+                    for column, x in zip(columns, (doc_id, s, pieces.tobytes(), len(pieces), log, value, inclusion)):
                         column.append(x)
+            own = [text for text, rows in zip((x.encode("utf-8", "surrogatepass") for x in whole), found) for _ in rows]
+            columns[-1] = vocabulary.spell([x[0] for rows in found for x in rows], own)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:

@@ -261,6 +261,47 @@ def test_inclusion_is_unbiased(vocabulary):
     assert abs(sum(totals.values()) / tries - 1) < 0.05 and all(abs(totals[p] / tries - q) < 0.05 for p, q in want.items())
 
 
+def test_random_numbers_are_drawn_for_all_texts_at_once(vocabulary, monkeypatch):
+    calls, mixed = [], gumbel_pieces._mixed
+    monkeypatch.setattr(gumbel_pieces, "_mixed", lambda x: calls.append(len(x)) or mixed(x))
+
+    def needed(count):
+        calls.clear()
+        assert all(len(r) == 3 for r in gumbel_pieces.sample(vocabulary, [vocabulary.chunks("some words of a text")] * count, np.arange(count).astype(np.uint64), 3))
+        return len(calls)
+
+    assert needed(200) < needed(20) + 50
+
+
+def test_sums_near_a_cut_and_far_from_it_agree(vocabulary, monkeypatch):
+    words = ["▁unbelievable", "▁" + "intermediate" * 40, "▁日本語é", "▁"]
+    near = gumbel_pieces.Lattices(vocabulary, words)
+    assert len(words[1]) > vocabulary.depth > 20
+    for depth in (0, 3):
+        monkeypatch.setattr(vocabulary, "depth", depth)
+        far = gumbel_pieces.Lattices(vocabulary, words)
+        assert np.array_equal(near.piece, far.piece) and np.allclose(near.log, far.log, rtol=1e-9, atol=1e-12)
+    monkeypatch.undo()
+    want = Counter()
+    for p, x in all_segmentations(vocabulary, "▁there").items():
+        want[p[0]] += x
+    own = gumbel_pieces.Lattices(vocabulary, ["▁there"])
+    assert {i: round(math.exp(x), 9) for i, x in zip(own.piece[: own.begin[1]].tolist(), own.log)} == {i: round(x, 9) for i, x in want.items()}
+
+
+def test_text_that_normalisation_keeps_is_not_normalised(vocabulary):
+    for text in (" a  b c\u3000ﬁ①é e\u0301 \t\n x ", "<s> </s> <unk>", "▁a ▁", "  \0 b", " ", "🙂 é", "\r\n", "\ufeff a", "<0x41>"):
+        assert vocabulary.unchanged and vocabulary.model.normalize(text) == "▁" + text.replace(" ", "▁")
+
+
+def test_spelling_is_judged_by_text(vocabulary):
+    texts = ["there in", "", "日本 x", " a"]
+    ids = [np.array(vocabulary.model.encode(t), "<u4") for t in texts]
+    assert vocabulary.spell(ids, [t.encode() for t in texts]) == [True] * 4
+    assert vocabulary.spell(ids, [b"there i", b"x", "日本".encode(), b"a"]) == [False] * 4
+    assert vocabulary.spell([], []) == []
+
+
 def test_segmentations_round_trip(spark, awkward, nothing):
     path = gumbel_pieces.model_path()
     found = gumbel_pieces.encode_samples(awkward, path).join(awkward.select("doc_id", "text").distinct(), "doc_id")
