@@ -6,12 +6,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventloom.llm import exact_dedup, kd_shards, near_copies, simhash_trie
+from eventloom.llm import exact_dedup, kd_shards, near_copies, packing, simhash_trie
 from eventloom.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -350,3 +351,21 @@ def test_near_stage_sends_few_tables_through_the_driver(spark, monkeypatch, caps
     monkeypatch.setattr(simhash_trie, "materialize", seen)
     near_copies.near_copies(made).count()
     assert sum(p.count("BroadcastExchange") for p in plans) <= 20
+
+
+@pytest.mark.parametrize("stage, module, work", [("near", near_copies, "kept_rows"), ("packed", packing, "pack")])
+def test_stages_send_texts_to_python_in_small_batches(spark, monkeypatch, stage, module, work):
+    """A batch of texts is held by the executor and the Python worker, so it has a bound; the session's setting comes back."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    def sent():
+        return [r.n for r in spark.range(2000).coalesce(1).mapInArrow(sizes, "n long").collect()]
+
+    monkeypatch.setattr(module, work, lambda *_: sent())
+    before = sent()
+    found = getattr(corpus_pipeline, stage)(spark, None, SF)
+    assert sum(found) == 2000 and max(found) <= corpus_pipeline.ARROW_ROWS < max(before)
+    assert sent() == before
