@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import MOST_BROADCAST_ROWS, fresh, without
+from eventloom.llm.common import MOST_BROADCAST_ROWS, fresh, lean, without
 from eventloom.llm.simhash_trie import BITS, SEED, _LOWER, components, link_forest, simhash
 from eventloom.session import materialize
 
@@ -88,7 +88,7 @@ def _mapped(docs: DataFrame, words: int, rows, schema: str) -> DataFrame:
         if last:
             yield pa.RecordBatch.from_arrays(last, names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 CLASSES = "doc_id long, class long, fp long, odd0 long, odd1 long, bits binary, bucket long, seen long"
@@ -144,7 +144,7 @@ def _sifted(pairs: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 1 + bits // 64) for i in (2, 3))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(possible(a, b)))
 
-    return materialize(_attached(pairs, bitmaps).mapInArrow(run, "a long, b long"))
+    return materialize(_attached(pairs, bitmaps).mapInArrow(lean(run), "a long, b long"))
 
 
 def _attached(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
             keep = pa.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in marks], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
-    return materialize(_attached(pairs, sets.select("class", "marks")).mapInArrow(run, "a long, b long"))
+    return materialize(_attached(pairs, sets.select("class", "marks")).mapInArrow(lean(run), "a long, b long"))
 
 
 def _print_links(classes: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import table
+from eventloom.llm.common import lean, table
 from eventloom.session import materialize
 
 WINDOW, SEGMENT, MIN_PIECE, END_ID = 4096, 1 << 18, 128, 2
@@ -152,7 +152,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "d
 
     source = F.coalesce(F.col(source_col).cast("string"), F.lit("")) if source_col else F.lit("")
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), source.alias("source"))
-    return chosen.mapInArrow(run, "doc_id long, source string, tokens long, part int, place long, ids binary")
+    return chosen.mapInArrow(lean(run), "doc_id long, source string, tokens long, part int, place long, ids binary")
 
 
 def _exact(text: str) -> Column:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventloom.llm import exact_dedup, kd_shards, near_copies, packing, simhash_trie
+from eventloom.llm import common, exact_dedup, kd_shards, near_copies, packing, simhash_trie, toxicity_cnn
 from eventloom.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -369,3 +369,35 @@ def test_stages_send_texts_to_python_in_small_batches(spark, monkeypatch, stage,
     found = getattr(corpus_pipeline, stage)(spark, None, SF)
     assert sum(found) == 2000 and max(found) <= corpus_pipeline.ARROW_ROWS < max(before)
     assert sent() == before
+
+
+def test_toxicity_stage_sends_texts_to_python_in_small_batches(spark, monkeypatch):
+    """Its plan is run within the stage: one that runs later would take the session's batches."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    def sent():
+        return spark.range(2000).coalesce(1).mapInArrow(sizes, "n long")
+
+    monkeypatch.setattr(toxicity_cnn, "fit", lambda *_: None)
+    monkeypatch.setattr(toxicity_cnn, "clean_rows", lambda *_: sent())
+    before = [r.n for r in sent().collect()]
+    found = [r.n for r in corpus_pipeline.toxicity(spark, None, SF).withColumns({}).collect()]
+    assert sum(found) == 2000 and max(found) <= corpus_pipeline.ARROW_ROWS < max(before)
+    assert [r.n for r in sent().collect()] == before
+
+
+def test_workers_give_back_what_arrow_has_freed(monkeypatch):
+    """Reused workers would keep a stage's freed batches through the stages that follow."""
+    calls, pool = [], pa.default_memory_pool()
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+            pool.release_unused()
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    made = [pa.RecordBatch.from_pydict({"n": [k]}) for k in range(3)]
+    assert list(common.lean(lambda batches: (b for b in batches))(iter(made))) == made and len(calls) == 4

@@ -1,6 +1,7 @@
 """License scans, toxicity, packing and sampled segmentations."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -141,6 +142,23 @@ def test_toxicity_gradients():
         assert math.isclose((up - down) / (2 * step), g[at], rel_tol=0.1, abs_tol=1e-4)
 
 
+def test_toxicity_scores_need_no_table_of_responses():
+    """Scores are those of responses of all words, in the memory of the words that occur."""
+    rng = np.random.default_rng(3)
+    m = toxicity_cnn._new_model(rng, 0.3, rng.normal(0, 1, toxicity_cnn.BUCKETS))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 2000, n)) for n in (1, 2, 3, 40, 300)] + ["", "w1"]
+    rows, starts = toxicity_cnn.word_ids(texts, toxicity_cnn._Ids())
+    tracemalloc.start()
+    found = m.logits(rows, starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < m.table.nbytes / 4
+    n, ends = len(rows) - toxicity_cnn.PAD, [*starts[1:], len(rows) - toxicity_cnn.PAD]
+    windows = [sum((m.table @ w)[rows[k : k + n]] for k, w in enumerate(ws)) for ws in m.filters]
+    best = np.array([[y for w in windows for y in w[a:b].max(axis=0)] for a, b in zip(starts, ends)])
+    assert np.allclose(found, np.maximum(best + m.bias, 0) @ m.out + m.shift, atol=1e-5)
+
+
 def token_ids(texts):
     from tokenizers import Tokenizer
 
