@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.operators.fold import MAX_GROUP_ROWS, OK, Rules, fold
-from eventloom.session import materialize
+from eventloom.session import discard, materialize, recorded
 
 SCHEDULED = "SCHEDULED"
 
@@ -139,15 +140,31 @@ class SeatResult:
     flights: DataFrame  # flight_id, available_seats, of the flights that were seeded
     reservations: DataFrame  # booking_id, flight_id, seat_count, status, for booking ids used more than once
     rounds: int
+    tables: list[str] = field(default_factory=list)  # folders that these three are read from; whoever has used them may discard them
 
 
-def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFrame | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> SeatResult:
+def decide_seats(
+    requests: DataFrame,
+    flights: DataFrame,
+    reservations: DataFrame | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
+    spent: Iterable[str] = (),
+) -> SeatResult:
     """Decide RESERVE and RELEASE requests (seq, kind, booking_id, flight_id, seat_count) in ``seq`` order.
 
     A rejected request takes no seats, so seats are admitted by an ordered fold per flight. Only booking ids
-    that can meet themselves again (repeated, stored, or released) get a state of their own.
+    that can meet themselves again (repeated, stored, or released) get a state of their own. ``spent`` names folders of
+    tables that ``requests`` alone is read from: they go when the requests have been read.
     """
+    with recorded() as made:
+        result = _decide_seats(requests, flights, reservations, max_group_rows, spent)
+    result.tables = made
+    return result
+
+
+def _decide_seats(requests, flights, reservations, max_group_rows, spent):
     requests = materialize(requests)
+    discard(requests.sparkSession, *spent)
     known = flights.select(F.col("flight_id").alias("_f"), F.col("status").alias("_status"), "price_per_seat", "available_seats")
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
     reserve = F.col("kind") == "RESERVE"
@@ -158,7 +175,7 @@ def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFram
         .when(reserve & (F.col("_status") != SCHEDULED), "FAILED_PRECONDITION")
     )
     judged = requests.join(known.drop("available_seats"), F.col("flight_id") == F.col("_f"), "left").withColumn("static", static)
-    judged = materialize(judged)
+    judged = checked = materialize(judged)
     valid = judged.filter("static IS NULL")
     places = _places(valid, requests, flights, reservations, max_group_rows)
     judged = judged.join(places, "booking_id", "left")
@@ -166,6 +183,8 @@ def decide_seats(requests: DataFrame, flights: DataFrame, reservations: DataFram
     judged = materialize(judged.withColumns({
         "static": F.coalesce("static", F.when(unknown, "NOT_FOUND")), "again": F.col("again").isNotNull() & F.col("again"),
     }))
+    if reservations is None:  # else the seeds' places are looked up once more
+        discard(requests.sparkSession, checked)
 
     valid = judged.filter("static IS NULL")
     takes, gives = valid.filter("kind = 'RESERVE'"), valid.filter("kind = 'RELEASE'")

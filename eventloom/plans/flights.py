@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import flights as L
 from eventloom.plans.registry import query
-from eventloom.session import materialize
+from eventloom.session import discard, materialize, recorded
 from eventloom.sources import market as M
 from eventloom.sources.tables import table
 from eventloom.functions.ordering import numbered
@@ -122,8 +122,12 @@ _DECIDED: dict[tuple, L.SeatResult] = {}
 def _decided(spark, sf) -> L.SeatResult:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _DECIDED:
-        result = L.decide_seats(seat_requests(spark, sf), M.flights(spark, sf))
-        result.decisions = materialize(result.decisions)
+        with recorded() as made:
+            asked = seat_requests(spark, sf)
+        result = L.decide_seats(asked, M.flights(spark, sf), spent=made)
+        result.decisions, result.flights = materialize(result.decisions), materialize(result.flights)
+        result.reservations = materialize(result.reservations)
+        discard(spark, *result.tables)
         _DECIDED[key] = result
     return _DECIDED[key]
 
